@@ -30,7 +30,9 @@ def _examined(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """The line, its fields by name and ``reason``: null, empty, short or bad_number."""
     # Empty fields at the end of a line do not count as fields.
     parts = F.split(F.rtrim(F.col("value"), F.lit(",")), ",")
-    typed = lines.select("value", parts.alias("_parts")).select(
+    # A generator is not merged with the filter above it, so a line is split once.
+    split_once = F.explode(F.array(parts)).alias("_parts")
+    typed = lines.select("value", split_once).select(
         "value",
         F.size("_parts").alias("_n"),
         *[

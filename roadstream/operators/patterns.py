@@ -80,9 +80,13 @@ def dangerous_pairs(
     car are taken in the order of time, monitor and road; the passages between the two
     ends, and so the text, are left to the batch operator.
     """
-    first = stamped(severe, "action_time", delay)
-    last = stamped(severe, "action_time", delay).select(
-        *[F.col(c).alias(f"last_{c}") for c in (*_EVENT, "event_time")]
+    block_ms = _SPANS_PER_BLOCK * span_ms
+    first = in_blocks(stamped(severe, "action_time", delay), "action_time", block_ms)
+    reached = in_blocks(
+        stamped(severe, "action_time", delay), "action_time", block_ms, after_ms=span_ms
+    )
+    last = reached.select(
+        *[F.col(c).alias(f"last_{c}") for c in (*_EVENT, "event_time", "_block")]
     )
 
     def place(prefix: str):
@@ -92,6 +96,7 @@ def dangerous_pairs(
 
     within = (
         (F.col("car") == F.col("last_car"))
+        & (F.col("_block") == F.col("last__block"))
         & (F.col("last_event_time") >= F.col("event_time"))
         & (F.col("last_event_time") < F.col("event_time") + span(span_ms))
         & (place("last_") > place(""))

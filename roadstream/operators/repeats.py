@@ -16,83 +16,15 @@ gathers a car's history:
    least a gap apart, so a passage finds its own by an equality join on gap-wide bins.
 """
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadstream.constants import REPEAT_GAP_MS, REPEAT_MESSAGE
+from roadstream.functions.anchors import STEPS, chain_udf, steps_udf
 from roadstream.functions.timing import floor_div, local_day
 from roadstream.plans import cut_lineage, fold_copies, in_blocks, unfold_copies
 
 _GAPS_PER_BLOCK = 64
-_STEPS = "struct<upto array<bigint>, last array<bigint>>"
-
-
-def anchor_steps(times: np.ndarray, gap_ms: int) -> tuple[np.ndarray, np.ndarray]:
-    """Step function of a block with sorted distinct passage ``times``.
-
-    For an incoming anchor a, the first passage at a + gap or later becomes the next
-    anchor; the smallest ``upto`` >= a + gap has the block's last anchor beside it. Above
-    the largest ``upto`` no passage qualifies and a itself stays the anchor.
-    """
-    n = len(times)
-    following = np.searchsorted(times, times + gap_ms)
-    last = np.where(following < n, following, np.arange(n))
-    while True:
-        further = last[last]
-        if np.array_equal(further, last):
-            break
-        last = further
-    # An incoming anchor lies before the first passage.
-    reach = min(n, int(np.searchsorted(times, times[0] + gap_ms)) + 1)
-    upto, result = times[:reach], times[last[:reach]]
-    ends = np.append(result[1:] != result[:-1], True)
-    return upto[ends], result[ends]
-
-
-def _steps_udf(gap_ms: int):
-    @F.pandas_udf(_STEPS)
-    def steps(times: pd.Series) -> pd.DataFrame:
-        pairs = [anchor_steps(np.asarray(t, dtype=np.int64), gap_ms) for t in times]
-        return pd.DataFrame(
-            {"upto": [u for u, _ in pairs], "last": [v for _, v in pairs]}
-        )
-
-    return steps
-
-
-def chain_anchors(run, gap_ms: int) -> list[int]:
-    """Incoming anchor of each open block of a run, whose blocks come in order.
-
-    ``run`` begins with the anchor that leaves the closed block before it.
-    """
-    anchor, *steps = run
-    incoming = []
-    for upto, last in steps:
-        incoming.append(anchor)
-        at = int(np.searchsorted(upto, anchor + gap_ms))
-        if at < len(upto):
-            anchor = int(last[at])
-    return incoming
-
-
-def _chain_udf(gap_ms: int):
-    @F.pandas_udf("array<bigint>")
-    def chain(
-        parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]],
-    ) -> Iterator[pd.Series]:
-        for anchors, uptos, lasts in parts:
-            yield pd.Series(
-                [
-                    chain_anchors([a, *zip(u, v)], gap_ms)
-                    for a, u, v in zip(anchors, uptos, lasts)
-                ]
-            )
-
-    return chain
 
 
 def _anchors_in(points: Column, incoming: Column, gap_ms: int) -> Column:
@@ -184,7 +116,7 @@ def _anchors(crowded: DataFrame, gap_ms: int) -> DataFrame:
     none = F.lit(None).cast("bigint")
     leaving = F.element_at(_anchors_in(F.col("_points"), none, gap_ms), -1)
     steps = chained.where("_open").withColumn(
-        "_steps", _steps_udf(gap_ms)("_points.action_time")
+        "_steps", steps_udf(gap_ms)("_points.action_time")
     )
     summaries = (
         chained.where(~F.col("_open"))
@@ -193,7 +125,7 @@ def _anchors(crowded: DataFrame, gap_ms: int) -> DataFrame:
             "_run",
             "_block",
             leaving["action_time"].alias("_leaving"),
-            F.lit(None).cast(_STEPS).alias("_steps"),
+            F.lit(None).cast(STEPS).alias("_steps"),
         )
         .unionByName(
             steps.select(
@@ -219,7 +151,7 @@ def _anchors(crowded: DataFrame, gap_ms: int) -> DataFrame:
     chain = runs.select(
         "car",
         F.col("_steps._block").alias("_blocks"),
-        _chain_udf(gap_ms)("_leaving", "_steps.upto", "_steps.last").alias("_chain"),
+        chain_udf(gap_ms)("_leaving", "_steps.upto", "_steps.last").alias("_chain"),
     )
     incoming = chain.select(
         "car",
@@ -248,7 +180,7 @@ def repeat_plate(passages: DataFrame, gap_ms: int = REPEAT_GAP_MS) -> DataFrame:
     """Warnings with the two cameras in the order of time, for a batch frame.
 
     Passages are taken in the order of time and camera. ``create_time`` is the time of
-    the later passage. ``roadstream.streaming.repeats`` is the form for streams.
+    the later passage. ``repeat_plate_stream`` is the form for streams.
     """
     crowded = cut_lineage(_crowded(passages, gap_ms))
     anchors = _anchors(crowded, gap_ms)

@@ -133,7 +133,7 @@ def top_congested(
 ) -> DataFrame:
     """The most congested monitors per sliding window of a batch frame.
 
-    ``roadstream.streaming.congestion`` runs the same ranking on closed windows.
+    ``congestion_job`` runs the same ranking on the closed windows of a stream.
     """
     return rank_congested(average_speed_2dp(passages, size_ms, slide_ms), k)
 

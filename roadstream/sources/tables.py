@@ -1,7 +1,6 @@
 """Dimension tables: from a database, from files, and as one row per key."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roadstream import schemas
 from roadstream.plans import one_per_key
@@ -48,12 +47,3 @@ def violation_list_snapshot(violation_list: DataFrame) -> DataFrame:
     return one_per_key(
         violation_list.select(*schemas.VIOLATION_LIST.fieldNames()), "car", "create_time"
     )
-
-
-def read_table(
-    spark: SparkSession, path: str, schema=None, key_filter: str | None = None
-) -> DataFrame:
-    """A Parquet table written by the sinks, optionally filtered."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    table = reader.parquet(path)
-    return table if key_filter is None else table.where(F.expr(key_filter))
