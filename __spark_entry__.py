@@ -7,14 +7,19 @@ The events are sparse, so the queries use wider windows than the library's defau
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream import operators as ops
-from roadstream import schemas, testmap
+from roadstream import testmap
+from roadstream.plans import shared_folder
 from roadstream.sources import tables
+from roadstream.streaming import jobs, sinks
+from roadstream.streaming.repeats import repeat_plate_stream
 
 HOUR = 3_600_000
 DAY = 24 * HOUR
@@ -78,6 +83,115 @@ def _watched(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Streams over the whole events table. Each runs until its input is read, into a table of
+# its own in the shared folder.
+
+
+def _own_folder(spark: SparkSession) -> str:
+    base = shared_folder(spark) or tempfile.mkdtemp(prefix="roadstream-")
+    return f"{base}/queries/{uuid.uuid4().hex}"
+
+
+def _finished(query) -> None:
+    query.awaitTermination()
+
+
+def _stream_into_table(frame: DataFrame) -> DataFrame:
+    spark = frame.sparkSession
+    folder = _own_folder(spark)
+    sink = sinks.append_table(f"{folder}/table")
+    _finished(sinks.start(frame, sink, f"{folder}/checkpoint", available_now=True))
+    return sinks.read_appended(spark, f"{folder}/table")
+
+
+def _job_into_table(job, read=sinks.read_appended):
+    """``job`` gets (spark, sf, table path, arguments for the run)."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        folder = _own_folder(spark)
+        table = f"{folder}/table"
+        run_args = {"checkpoint": f"{folder}/checkpoint", "available_now": True}
+        _finished(job(spark, sf, table, run_args))
+        return read(spark, table)
+
+    return run
+
+
+def _stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {
+        "overspeed_stream": _job_into_table(
+            lambda s, d, table, run: jobs.overspeed_job(
+                testmap.passages_stream(s, d),
+                lambda: testmap.monitors(s, d),
+                sinks.append_table(table),
+                **run,
+            )
+        ),
+        "track_rows_stream": _job_into_table(
+            lambda s, d, table, run: jobs.track_job(
+                testmap.passages_stream(s, d),
+                lambda: testmap.violation_list(s, d),
+                sinks.upsert_by_key(table),
+                **run,
+            ),
+            lambda s, table: sinks.read_latest(s, table, "row_key"),
+        ),
+        "average_speed_stream": _job_into_table(
+            lambda s, d, table, run: jobs.average_speed_job(
+                testmap.passages_stream(s, d),
+                sinks.append_table(table),
+                size_ms=AVG_SIZE,
+                slide_ms=AVG_SLIDE,
+                **run,
+            )
+        ),
+        "top_congested_stream": _job_into_table(
+            lambda s, d, table, run: jobs.congestion_job(
+                testmap.passages_stream(s, d),
+                sinks.append_table(table),
+                size_ms=AVG_SIZE,
+                slide_ms=TOP_SLIDE,
+                **run,
+            )
+        ),
+        "area_vehicle_count_stream": lambda s, d: _stream_into_table(
+            ops.area_vehicle_count(testmap.passages_stream(s, d), DAY)
+        ),
+        "area_vehicle_count_running_stream": _job_into_table(
+            lambda s, d, table, run: jobs.area_count_job(
+                testmap.passages_stream(s, d),
+                sinks.upsert_by_key(table),
+                size_ms=DAY,
+                **run,
+            ),
+            lambda s, table: sinks.read_latest(s, table, "area_id", "start_time"),
+        ),
+        "police_interval_join_stream": lambda s, d: _stream_into_table(
+            ops.police_interval_join(
+                testmap.police_actions_stream(s, d),
+                testmap.violations_stream(s, d),
+                tolerance_ms=TOLERANCE,
+            )
+        ),
+        "dangerous_pairs_stream": lambda s, d: _stream_into_table(
+            ops.dangerous_pairs(
+                ops.severe_overspeed(
+                    testmap.passages_stream(s, d), testmap.monitors(s, d)
+                ),
+                span_ms=DAY,
+            )
+        ),
+        "repeat_plate_stream": lambda s, d: _stream_into_table(
+            repeat_plate_stream(testmap.passages_stream(s, d), gap_ms=GAP)
+        ),
+        "repeat_plate_daily_stream": _job_into_table(
+            lambda s, d, table, run: jobs.repeat_plate_job(
+                testmap.passages_stream(s, d), table, gap_ms=GAP, **run
+            )
+        ),
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     repeats = _on_passages(ops.repeat_plate, gap_ms=GAP)
     top = _on_passages(ops.top_congested, 3, AVG_SIZE, TOP_SLIDE)
@@ -115,6 +229,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dangerous_driving": _with_monitors(ops.dangerous_driving, span_ms=DAY),
         "repeat_plate": repeats,
         "repeat_plate_daily": lambda s, d: ops.repeat_plate_daily(repeats(s, d)),
+        **_stream_queries(),
     }
 
 
@@ -197,6 +312,38 @@ def _sql(body: str, *views: str, recursive: bool = False) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    batch = _batch_sql()
+    # A stream gives the windows that its last watermark has closed.
+    closed = "end_time <= (select max(epoch_us(ts) // 1000) - 5000 from events)"
+
+    def when_closed(name: str) -> str:
+        return f"select * from ({batch[name]}) where {closed}"
+
+    return {
+        **batch,
+        "overspeed_stream": batch["overspeed"],
+        "track_rows_stream": batch["track_rows"],
+        "average_speed_stream": when_closed("average_speed"),
+        "top_congested_stream": when_closed("top_congested"),
+        "area_vehicle_count_stream": when_closed("area_vehicle_count"),
+        # The newest update of every window, open ones included.
+        "area_vehicle_count_running_stream": batch["area_vehicle_count"],
+        "police_interval_join_stream": batch["police_interval_join"],
+        "dangerous_pairs_stream": _sql(
+            f"""select a.car, a.action_time create_time, a.real_speed,
+                  a.limit_speed::double limit_speed, b.action_time last_time
+                from severe a join severe b on a.car = b.car
+                  and (b.action_time, b.monitor_id, b.road_id, b.real_speed,
+                       b.limit_speed) > (a.action_time, a.monitor_id, a.road_id,
+                       a.real_speed, a.limit_speed)
+                  and b.action_time - a.action_time < {DAY}"""
+        ),
+        "repeat_plate_stream": batch["repeat_plate"],
+        "repeat_plate_daily_stream": batch["repeat_plate_daily"],
+    }
+
+
+def _batch_sql() -> dict[str, str]:
     close = f"abs(pa.action_time - vi.create_time) <= {TOLERANCE}"
     area_window = f"action_time - action_time % {DAY}"
     return {

@@ -119,10 +119,12 @@ def area_vehicle_count_running(
             "camera_id",
         )
     )
+    # A plain minimum, so that the aggregation hashes; without a camera a car's entry
+    # sorts ahead of all its passages of that time.
     firsts = placed(
-        passages.groupBy("area_id", start.alias("start_time"), "car")
-        .agg(F.min(F.struct("action_time", "camera_id")).alias("_first"))
-        .select("area_id", "car", "_first.action_time", "_first.camera_id")
+        passages.groupBy("area_id", start.alias("start_time"), "car").agg(
+            F.min("action_time").alias("action_time")
+        )
     )
     earlier = (
         Window.partitionBy("area_id", "start_time")
@@ -154,7 +156,8 @@ def area_vehicle_count_running(
             column("_copies", "bigint"),
         )
 
-    # In a slice: the carried number, then each car's first passage ahead of its row.
+    # In a slice: the carried number, then each car's entry ahead of its passages. What
+    # an entry lacks is null and sorts first.
     everything = (
         entries(carried, 0, F.col("_new"))
         .unionByName(entries(firsts, 1, F.lit(1)))
@@ -162,7 +165,7 @@ def area_vehicle_count_running(
     )
     running = (
         Window.partitionBy(*group)
-        .orderBy(F.asc_nulls_first("action_time"), "car", "camera_id", "_kind")
+        .orderBy("action_time", "car", "camera_id", "_kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     counted = everything.withColumn("car_count", F.sum("_new").over(running)).where(

@@ -8,6 +8,13 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # State on local disk with incremental checkpoints, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Call sites of column expressions are not looked up while a plan is built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Replaying a batch replaces that batch's folder and no other.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -4,8 +4,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# The columns that are used, so that no file is opened to learn its schema.
+_COLUMNS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "part": "p_partkey bigint, p_brand string, p_size int",
+    "customer": "c_custkey bigint, c_acctbal double, c_mktsegment string",
+}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def _events_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events table as a stream of the table's files."""
+    reader = spark.readStream.schema(_COLUMNS["events"]).format("parquet")
+    # The stream lists the folder, of which only this table is taken.
+    return reader.option("pathGlobFilter", "events.parquet").load(folder)
 
 
 def _millis() -> Column:
@@ -56,6 +72,18 @@ def violations(spark: SparkSession, folder: str) -> DataFrame:
     return violations_from(_table(spark, folder, "events"))
 
 
+def passages_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return passages_from(_events_stream(spark, folder))
+
+
+def police_actions_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return police_actions_from(_events_stream(spark, folder))
+
+
+def violations_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return violations_from(_events_stream(spark, folder))
+
+
 def monitors(spark: SparkSession, folder: str) -> DataFrame:
     """Monitors 80 and above stay unknown; some of the known have limit 0."""
     key = F.col("p_partkey")

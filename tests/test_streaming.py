@@ -1,5 +1,7 @@
 """Streams from log files against the batch operators on the same passages."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,7 +44,10 @@ def _write_logs(frame, time_col, folder):
     size = -(-len(rows) // FILES)
     for i in range(FILES):
         lines = [",".join(map(str, row)) for row in rows[i * size : (i + 1) * size]]
-        (folder / f"{i}.log").write_text("\n".join(lines) + "\n", encoding="utf-8")
+        log = folder / f"{i}.log"
+        log.write_text("\n".join(lines) + "\n", encoding="utf-8")
+        # Files are read in the order of their times of change.
+        os.utime(log, (1_700_000_000 + i, 1_700_000_000 + i))
     return str(folder)
 
 
