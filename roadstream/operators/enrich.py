@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadstream.constants import DEFAULT_SPEED_LIMIT, OVERSPEED_FACTOR, SEVERE_FACTOR
-from roadstream.plans import join_dimension, one_per_key
+from roadstream.plans import join_dimension
 
 
 def overspeed(
@@ -18,10 +18,7 @@ def overspeed(
 
     Monitors without a positive limit, and passages of unknown monitors, give nothing.
     """
-    limits = one_per_key(
-        monitors.where(F.col("speed_limit") > 0).select("monitor_id", "speed_limit"),
-        "monitor_id",
-    )
+    limits = monitors.where(F.col("speed_limit") > 0).select("monitor_id", "speed_limit")
     joined = join_dimension(
         passages.select("car", "monitor_id", "road_id", "speed", "action_time"),
         limits,
@@ -46,13 +43,10 @@ def with_speed_limits(
 
     The road is the monitor's where the monitor is known. A limit of 0 is kept.
     """
-    known = one_per_key(
-        monitors.select(
-            "monitor_id",
-            F.col("speed_limit").alias("_limit"),
-            F.col("road_id").alias("_road"),
-        ),
+    known = monitors.select(
         "monitor_id",
+        F.col("speed_limit").alias("_limit"),
+        F.col("road_id").alias("_road"),
     )
     joined = join_dimension(
         passages.select("car", "monitor_id", "road_id", "speed", "action_time"),
@@ -85,5 +79,5 @@ def severe_overspeed(
 
 def watchlist_passages(passages: DataFrame, violation_list: DataFrame) -> DataFrame:
     """Passages of cars that are on the violation list."""
-    cars = violation_list.select("car").distinct()
+    cars = violation_list.select("car")
     return join_dimension(passages, cars, "car", "left_semi").select(*passages.columns)

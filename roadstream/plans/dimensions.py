@@ -46,16 +46,19 @@ def join_dimension(
     max_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Equi join of a large (or streaming) frame with a smaller static one.
+    """Equi join of a large (or streaming) frame with one row per key of a static one.
 
-    A dimension measured below ``max_bytes`` is broadcast: the facts are not moved.
-    A larger one is joined by a shuffle on (key, salt), so the rows of one hot key are
+    A dimension measured below ``max_bytes`` is broadcast: the facts are not moved. A
+    larger one is joined by a shuffle on (key, salt), so the rows of one hot key are
     spread over ``salts`` tasks; each dimension row is copied once per salt.
     """
-    if fits_broadcast(dim, max_bytes):
-        return facts.join(F.broadcast(dim), key, how)
+    small = fits_broadcast(dim, max_bytes)
+    single = dim.distinct() if dim.columns == [key] else one_per_key(dim, key)
+    if small:
+        return facts.join(F.broadcast(single), key, how)
+    # The salt is a function of the row: a task that runs again salts it the same way.
     salt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    copies = dim.withColumn(
+    copies = single.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     joined = facts.withColumn("_salt", salt).join(copies, [key, "_salt"], how)

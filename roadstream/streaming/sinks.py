@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from roadstream.functions.timing import local_day
 from roadstream.operators.repeats import repeat_plate_daily
 from roadstream.plans import shared_folder
 
@@ -28,16 +29,32 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def append_table(path: str) -> Sink:
-    """Append every batch to a Parquet table."""
+def append_table(path: str, time_col: str | None = None, zone: str = "UTC") -> Sink:
+    """Append every batch to a Parquet table.
+
+    With ``time_col``, a batch is also split into folders by the ``day`` of that column,
+    so that readers of some days skip the files of all others.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        folder = f"{path}/batch_id={batch_id}"
+        if time_col is None:
+            batch.write.mode("overwrite").parquet(folder)
+        else:
+            # Replaces the batch's folder as a whole, whatever the session's setting.
+            (
+                batch.withColumn("day", local_day(F.col(time_col), zone))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .partitionBy("day")
+                .parquet(folder)
+            )
 
     return write
 
 
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all batches, with ``day`` where the table is split by it."""
     return spark.read.parquet(path).drop("batch_id")
 
 

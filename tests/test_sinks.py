@@ -20,6 +20,24 @@ def test_replayed_batch_is_stored_once(spark, rows, tmp_path):
     assert rows(sinks.read_appended(spark, path)) == [(1,), (2,), (3,)]
 
 
+def test_days_are_folders(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    write = sinks.append_table(path, "at")
+    write(spark.createDataFrame([(1,), (DAY,)], "at long"), 0)
+    for _ in range(2):
+        write(spark.createDataFrame([(2,)], "at long"), 1)
+    table = sinks.read_appended(spark, path)
+    assert rows(table, "at") == [(1,), (2,), (DAY,)]
+    second = table.where("day = date'1970-01-02'")
+    assert rows(second, "at") == [(DAY,)]
+    (scan,) = [
+        line
+        for line in second._jdf.queryExecution().executedPlan().toString().splitlines()
+        if "PartitionFilters" in line
+    ]
+    assert "day" in scan.split("PartitionFilters")[1].split("]")[0]
+
+
 def test_insert_if_absent(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     write = sinks.insert_if_absent(path)
