@@ -89,7 +89,7 @@ def area_vehicle_count_running(
 
     The running sum is split into slices of a window: each slice starts from a row that
     carries the number of cars first seen in earlier slices, so a busy area's window is
-    ordered in as many tasks as it has slices.
+    ordered in as many tasks as it has slices: a hundred, or as ``slice_ms`` says.
     """
     if passages.isStreaming:
         windows = _stream_windows(passages, size_ms, delay)

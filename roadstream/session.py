@@ -13,6 +13,8 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Checkpointed frames are removed once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Call sites of column expressions are not looked up while a plan is built.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Replaying a batch replaces that batch's folder and no other.

@@ -18,10 +18,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _events_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events table as a stream of the table's files."""
+    """The events table, a file or a folder of files, as a stream of files."""
     reader = spark.readStream.schema(_COLUMNS["events"]).format("parquet")
-    # The stream lists the folder, of which only this table is taken.
-    return reader.option("pathGlobFilter", "events.parquet").load(folder)
+    # A stream takes a single file only by way of a pattern.
+    return reader.load(f"{folder}/event[s].parquet")
 
 
 def _millis() -> Column:
