@@ -1,7 +1,8 @@
 """Passages against the monitor and violation-list dimensions.
 
 Every operator here leaves the passages where they are while the dimension fits a
-broadcast, and runs unchanged on streaming passages.
+broadcast, and runs unchanged on streaming passages. There the dimension is measured when
+the query is built; the jobs in ``roadstream.streaming`` read and measure it per batch.
 """
 
 from pyspark.sql import DataFrame

@@ -10,8 +10,10 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from roadstream import schemas
 from roadstream.functions.timing import local_day
 from roadstream.operators.repeats import repeat_plate_daily
 from roadstream.plans import shared_folder
@@ -29,6 +31,30 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def as_table(frame: DataFrame, schema: T.StructType, **sources: str) -> DataFrame:
+    """``frame`` with the columns and types of a table that is written.
+
+    ``sources`` names the frame's column where the table calls it differently.
+    """
+    return frame.select(
+        *[
+            F.col(sources.get(f.name, f.name)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
+def repeat_car_table(warnings: DataFrame) -> DataFrame:
+    """Cloned-plate warnings as stored in a database: its columns say monitor, but hold
+    the cameras."""
+    return as_table(
+        warnings,
+        schemas.REPEAT_CAR,
+        first_monitor_id="first_camera_id",
+        second_monitor_id="second_camera_id",
+    )
+
+
 def append_table(path: str, time_col: str | None = None, zone: str = "UTC") -> Sink:
     """Append every batch to a Parquet table.
 

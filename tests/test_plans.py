@@ -124,3 +124,17 @@ def test_no_cross_join_and_no_python(spark, name):
     text = plan(contract.queries()[name](spark, SMALL))
     for word in ("Cartesian", "NestedLoop", "Python", "Arrow"):
         assert word not in text
+
+
+def test_pattern_is_shuffled_and_sorted_once(spark):
+    frame = contract.queries()["dangerous_driving"](spark, SMALL)
+    text = plan(frame).split("BroadcastHashJoin")[0]
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("Sort [") == 1
+
+
+def test_cars_of_an_area_are_never_in_one_group(spark):
+    text = plan(contract.queries()["area_vehicle_count"](spark, SMALL))
+    # The distinct is shuffled by area, window and car; only counts meet by area.
+    assert text.count("Exchange hashpartitioning(area_id") == 2
+    assert "collect" not in text

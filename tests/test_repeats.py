@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from roadstream.functions.anchors import anchor_steps, fold_anchor
-from roadstream.operators import repeat_plate, repeat_plate_daily
+from roadstream.operators import repeat_plate, repeat_plate_daily, repeats
 from roadstream.operators.repeats import _anchors, _crowded
 
 OUT = ("car", "first_camera_id", "second_camera_id", "create_time")
@@ -73,6 +73,12 @@ def test_random_histories(check, seed):
     check(records, gap)
 
 
+def test_without_a_shared_folder(check, monkeypatch):
+    monkeypatch.setattr(repeats, "cut_lineage", lambda frame: frame)
+    rng = random.Random(11)
+    check([(f"car{rng.randrange(3)}", rng.randrange(2_000), "c") for _ in range(500)], 9)
+
+
 def test_interleaved_chains_do_not_merge(check):
     """Passages half a gap apart: the two possible chains stay apart for ever."""
     check([("a", 5 * i, f"c{i}") for i in range(1_000)], gap=10)

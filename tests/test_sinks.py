@@ -1,5 +1,8 @@
 import pytest
 
+import __spark_entry__ as contract
+from conftest import SMALL
+from roadstream import schemas
 from roadstream.sources import lines as line_sources
 from roadstream.sources import tables
 from roadstream.streaming import sinks
@@ -129,3 +132,24 @@ def test_database_tables(read, table):
     read(session, "jdbc:x", {"user": "u"})
     assert ("format", "jdbc") in session.calls and ("user", "u") in session.calls
     assert f"from {table}) t" in dict(session.calls)["dbtable"]
+
+
+@pytest.mark.parametrize("query, schema", [
+    ("overspeed", schemas.OVERSPEED),
+    ("average_speed", schemas.AVERAGE_SPEED),
+    ("dangerous_driving", schemas.DANGEROUS_DRIVING),
+    ("track_rows", schemas.TRACK),
+])
+def test_operators_fit_their_tables(spark, query, schema):
+    frame = contract.queries()[query](spark, SMALL)
+    kinds = dict(frame.dtypes)
+    table = sinks.as_table(frame, schema)
+    assert dict(table.dtypes) == {c: kinds[c] for c in table.columns}
+    assert table.columns == schema.fieldNames()
+
+
+def test_stored_warnings_call_the_cameras_monitors(spark, rows):
+    warnings = spark.createDataFrame([("a", "c1", "c2", "m", 5)], WARNING)
+    table = sinks.repeat_car_table(warnings)
+    assert table.columns == schemas.REPEAT_CAR.fieldNames()
+    assert rows(table) == [("a", "c1", "c2", "m", 5)]

@@ -139,6 +139,22 @@ def test_average_speed(stream, batch, run, rows):
     assert rows(got) == rows(expected)
 
 
+def test_late_rows_are_dropped(spark, run, rows, tmp_path):
+    """A row whose windows have all closed changes nothing; others still count."""
+    folder = tmp_path / "late"
+    folder.mkdir()
+    batches = [[0, 100_000], [110_000], [30_000, 90_000], [200_000]]
+    for i, times in enumerate(batches):
+        log = folder / f"{i}.log"
+        log.write_text("\n".join(f"{t},m,c,a,10.0,r,x" for t in times), encoding="utf-8")
+        os.utime(log, (1_700_000_000 + i, 1_700_000_000 + i))
+    lines = read_log_lines(spark, str(folder), files_per_trigger=1)
+    got = run(average_speed(parse_passages(lines), 60_000, 60_000))
+    # Lateness is judged by the watermark of the batch before, which is 95 s for the
+    # third log: the window from 0 s has closed, the one from 60 s has not.
+    assert rows(got, "start_time", "car_count") == [(0, 1), (60_000, 3)]
+
+
 def test_area_counts(stream, batch, run, rows):
     got = run(area_vehicle_count(stream(), DAY)).drop("batch_id")
     assert rows(got) == rows(_closed(area_vehicle_count(batch, DAY), batch))
