@@ -15,6 +15,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     For a frame that several branches of a plan read. Without a shared folder the frame
     is returned as it is: the branches recompute it and the result is the same.
     """
-    if df.isStreaming or shared_folder(df.sparkSession) is None:
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if df.isStreaming or folder is None:
         return df
+    if spark.sparkContext.getCheckpointDir() is None:
+        # The setting was made after the context had started.
+        spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
