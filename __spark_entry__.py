@@ -192,6 +192,21 @@ def _stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the subpackage ``llm`` and the corpus pipeline, if present."""
+    try:
+        import corpus_pipeline
+        from roadstream.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if (missing.name or "") == "corpus_pipeline" or "roadstream.llm" in (missing.name or ""):
+            return {}, {}
+        raise
+    sql = llm.oracle_sql()
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**llm.queries(), "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     repeats = _on_passages(ops.repeat_plate, gap_ms=GAP)
     top = _on_passages(ops.top_congested, 3, AVG_SIZE, TOP_SLIDE)
@@ -230,6 +245,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "repeat_plate": repeats,
         "repeat_plate_daily": lambda s, d: ops.repeat_plate_daily(repeats(s, d)),
         **_stream_queries(),
+        **_llm()[0],
     }
 
 
@@ -340,6 +356,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "repeat_plate_stream": batch["repeat_plate"],
         "repeat_plate_daily_stream": batch["repeat_plate_daily"],
+        **_llm()[1],
     }
 
 
