@@ -1,0 +1,12 @@
+import pytest
+
+
+@pytest.fixture
+def documents(spark):
+    """Documents from (doc_id, text[, lang[, source]])."""
+
+    def build(*rows):
+        full = [(r[0], r[1], *(r[2:] or ("en",)), *(() if len(r) > 3 else ("s0",))) for r in rows]
+        return spark.createDataFrame(full, "doc_id long, text string, lang string, source string")
+
+    return build
