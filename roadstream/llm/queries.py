@@ -8,9 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream.llm.common import table
+from roadstream.llm.neardup import near_duplicates
 from roadstream.llm.quality import quality
 
 
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Four-word shingles of every document, linked at similarity 0.8."""
+    found = near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Keep or reject every document by its perplexity; labelled clean texts are trusted."""
     trusted = table(spark, folder, "labels").where("quality = 1 and toxic = 0")
@@ -21,7 +28,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_quality": op10_quality}
+    return {"op2_near_duplicates": op2_near_duplicates, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:

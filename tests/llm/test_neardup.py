@@ -1,0 +1,109 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from roadstream.llm import neardup as N
+from roadstream.llm.components import components
+from roadstream.llm.shingles import shingles
+from pyspark.sql import functions as F
+
+
+def words_of(rng, n):
+    return ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+
+
+def brute_force(rows, size, percent):
+    """Smallest reachable id by plain sets of word tuples."""
+    sets = []
+    for _, text in rows:
+        w = []
+        for word in (text or "").encode().split():
+            w.append(bytes(c + 32 if 65 <= c <= 90 else c for c in word))
+        k = min(size, len(w))
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set())
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    where = defaultdict(list)
+    for i, s in enumerate(sets):
+        common = Counter(j for g in s for j in where[g])
+        for j, both in common.items():
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
+                parent[find(i)] = find(j)
+        for g in s:
+            where[g].append(i)
+    least = {}
+    for i, (name, _) in enumerate(rows):
+        if name is not None:
+            root = find(i)
+            least[root] = min(name, least.get(root, name))
+    return [(len(sets[i]), least.get(find(i)) if sets[i] else rows[i][0]) for i in range(len(rows))]
+
+
+def corpus(seed):
+    rng = random.Random(seed)
+    rows = []
+    base = words_of(rng, 120)
+    for _ in range(150):  # a large group of near copies, many pairs of which are near 0.8
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 2, 3])):
+            w[rng.randrange(len(w))] = "x" + str(rng.random())
+        rows.append(" ".join(w))
+    chain = words_of(rng, 80)  # each step alike, the ends not
+    for _ in range(12):
+        chain = chain[5:] + words_of(rng, 5)
+        rows.append(" ".join(chain))
+    rows += [" ".join(words_of(rng, rng.randrange(1, 60))) for _ in range(60)]
+    rows += [rows[5].upper(), rows[5].replace(" ", "\t"), "", None, " \n", "one", "ONE", "two words", "Ä b c", "ä b c"]
+    rows += [" ".join(base * 300)] * 2
+    rng.shuffle(rows)
+    return [(i * 3 + 7, t) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("size", [4, 5])
+def test_equals_brute_force(spark, size):
+    rows = corpus(size)
+    rows += [rows[0], (None, rows[1][1]), (None, "nameless alone here"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = docs.withColumn("id", F.lit(0)).withColumn("cls", F.lit("x"))
+    got = N.near_duplicates(docs, size=size).collect()
+    want = brute_force(rows, size, 80)
+    expect = Counter(
+        (name, n, c, name is None or name == c) for (name, _), (n, c) in zip(rows, want, strict=True)
+    )
+    assert Counter(map(tuple, got)) == expect
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    out = N.near_duplicates(docs)
+    assert out.columns == ["id", "n_shingles", "component_id", "kept"] and out.count() == 0
+
+
+def test_shingles():
+    assert len(shingles("a b c d e a b c d e", 5)) == 5
+    assert len(shingles("A\x0bb\x85", 4)) == 1
+    assert shingles("a b", 4).tolist() == shingles(" A  B\n", 4).tolist()
+    assert shingles("a b", 4).tolist() != shingles("b a", 4).tolist()
+
+
+def test_pruning_keeps_similar_pairs():
+    least = N.least_matches(80, 1e-6)
+    assert least == sorted(least) and 0 < least[0] < 0.8 * N.BATCH
+    rng = random.Random(1)
+    for _ in range(300):
+        same = [rng.random() < 0.8 for _ in range(N.BANDS * N.BAND_ROWS)]
+        ok = all(sum(same[: (i + 1) * N.BATCH]) >= m for i, m in enumerate(least))
+        assert ok
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 40)] + [(5, 5)]
+    random.Random(2).shuffle(edges)
+    got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {**dict.fromkeys(range(61), 0), **dict.fromkeys(range(1000, 1040), 1000)}
