@@ -4,8 +4,9 @@ Rows with equal shingle sets form a class, so that exact copies are one item fro
 start. Classes that agree in a band of their signature are candidates. In a bucket of any
 size the candidates are compared with one leader at a time, and what has come together is
 one item for the next round; at last, members outside a bucket's largest component are
-compared with all members of other components. So each pair of components in a bucket is
-either merged or was compared in full, while no bucket yields all of its pairs.
+compared with all members of other components, block by block inside tasks, and only links
+leave a task. So each pair of components in a bucket is either merged or was compared in
+full, while no bucket yields its pairs as rows.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,6 +31,8 @@ BANDS, BAND_ROWS = 32, 5
 #: Minimum hashes that are compared at a time.
 BATCH = 32
 LEADER_ROUNDS = 2
+#: A block holds about so many members, or shingles, of a bucket on either side.
+BLOCK, BLOCK_SHINGLES = 512, 400_000
 
 
 def near_duplicates(
@@ -106,7 +110,8 @@ def signature(hashes: np.ndarray) -> np.ndarray:
         x = (low[at : at + 2048] ^ flip) * scale
         x ^= x >> np.uint32(15)
         np.minimum(least, (x * np.uint32(0x2C1B3C6D)).min(axis=1), out=least)
-    return least
+    # Sixteen bits are as good as all: two differing minima agree in them once in 65,536.
+    return (least >> np.uint32(16)).astype(np.uint16)
 
 
 _CONSTANTS: list = []
@@ -148,23 +153,24 @@ def _linked_classes(
     sets = _sets(rows, classes, members, size)
     edges, labels = None, None
     for turn in range(LEADER_ROUNDS + 1):
-        pairs = (
-            _led(members, labels, turn) if turn < LEADER_ROUNDS else _rest(members, labels)
-        )
-        found = written(_confirmed(pairs, classes, sets, percent, miss))
+        if turn < LEADER_ROUNDS:
+            found = _confirmed(_led(members, labels, turn), classes, sets, percent, miss)
+        else:
+            found = _rest(members, labels, classes, sets, percent, miss)
+        found = written(found)
         edges = found if edges is None else edges.unionByName(found)
         labels = written(components(edges))
     return labels
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """(key, cls) for the buckets that hold two classes or more."""
-    width = 4 * BAND_ROWS
+    """(key, band, cls) for the buckets that hold two classes or more."""
+    width = 2 * BAND_ROWS
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.substring("signature", b * width + 1, F.lit(width))),
     )
-    banded = written(classes.select("cls", F.explode(keys).alias("key")))
+    banded = written(classes.select("cls", F.posexplode(keys).alias("band", "key")))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     return written(banded.join(written(shared.select("key")), "key", "left_semi"))
 
@@ -192,20 +198,135 @@ def _led(members: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
     return _ordered(met, F.col("cls"), F.col("head.cls"))
 
 
-def _rest(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members outside their bucket's largest component with those of other components."""
-    tagged = written(_with_labels(members, labels))
-    sizes = tagged.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+def _rest(
+    members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, miss: float
+) -> DataFrame:
+    """Links of members outside their bucket's largest component with other components.
+
+    A bucket is cut into blocks of those few members by all members. The signatures of a
+    block are compared first; the full sets are fetched only for members that a likely
+    pair of the block has. Of a member's links with one component the first is enough."""
+    tagged = written(_with_labels(members, labels).join(classes.select("cls", "n"), "cls"))
+    sizes = tagged.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s"))
     largest = sizes.groupBy("key").agg(
-        F.max_by("label", F.struct("n", "label")).alias("largest"), F.count(F.lit(1)).alias("m")
+        F.max_by("label", F.struct("m", "label")).alias("largest"),
+        F.max_by(F.struct("m", "s"), F.struct("m", "label")).alias("_l"),
+        F.count(F.lit(1)).alias("labels"),
+        F.sum("m").alias("m"),
+        F.sum("s").alias("s"),
+    )
+
+    def pieces(m, s):
+        return F.ceil(F.greatest(m / BLOCK, s / BLOCK_SHINGLES, F.lit(1.0))).cast("int")
+
+    split = written(
+        largest.where("labels > 1").select(
+            "key",
+            "largest",
+            pieces(F.col("m"), F.col("s")).alias("all_"),
+            pieces(F.col("m") - F.col("_l.m"), F.col("s") - F.col("_l.s")).alias("few_"),
+        )
     )
-    split = written(largest.where("m > 1").select("key", "largest"))
     here = written(tagged.join(split, "key"))
+    place = F.xxhash64("cls", F.lit(7))
+    columns = ("key", "band", "cls", "label", "n")
     few = here.where("label <> largest").select(
-        "key", F.col("cls").alias("a"), F.col("label").alias("_of_a")
+        *columns,
+        F.pmod(place, "few_").cast("int").alias("row"),
+        F.explode(F.sequence(F.lit(0), F.col("all_") - 1)).alias("col"),
+        F.lit(True).alias("few"),
+    )
+    every = here.select(
+        *columns,
+        F.explode(F.sequence(F.lit(0), F.col("few_") - 1)).alias("row"),
+        F.pmod(place, "all_").cast("int").alias("col"),
+        F.lit(False).alias("few"),
+    )
+    both = few.unionByName(every).join(classes.select("cls", "signature"), "cls")
+    needed = least_matches(percent, miss)
+    block = ["key", "row", "col"]
+
+    def likely(group: pa.Table) -> pa.Table:
+        x, y = (group.filter(pa.compute.equal(group["few"], side)) for side in (True, False))
+        if len(x) and len(y):
+            i, j = _likely_pairs(x, y, percent, needed)
+            x, y = x.take(pa.array(np.unique(i))), y.take(pa.array(np.unique(j)))
+        else:
+            x, y = x.slice(0, 0), y.slice(0, 0)
+        return pa.concat_tables([x, y]).select([*block, "cls", "label", "few"])
+
+    schema = "key long, row int, col int, cls binary, label binary, few boolean"
+    maybe = written(both.groupBy(*block).applyInArrow(likely, schema))
+
+    def linked(group: pa.Table) -> pa.Table:
+        x, y = (group.filter(pa.compute.equal(group["few"], side)) for side in (True, False))
+        a, b = _links(x, y, percent)
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    found = maybe.join(sets, "cls").groupBy(*block).applyInArrow(linked, "a binary, b binary")
+    return _ordered(found, F.col("a"), F.col("b"))
+
+
+def _likely_pairs(x: pa.Table, y: pa.Table, percent: int, needed: list[int]):
+    """Positions (i, j) of the pairs of a block that signatures don't rule out, each pair in
+    the first band that it shares."""
+    left, right = (
+        np.frombuffer(b"".join(t["signature"].to_pylist()), np.uint16).reshape(len(t), -1) for t in (x, y)
+    )
+    n, m = (t["n"].to_numpy().astype(np.float64) for t in (x, y))
+    named: dict[bytes, int] = {}
+    of_x, of_y = (
+        np.array([named.setdefault(v, len(named)) for v in t["label"].to_pylist()]) for t in (x, y)
     )
-    met = here.join(few, "key").where("label <> _of_a")
-    return _ordered(met, F.col("cls"), F.col("a"))
+    at, to = [], []
+    for lo in range(0, len(x), 64):
+        part = slice(lo, lo + 64)
+        small = np.minimum(n[part, None], m[None, :])
+        fits = 100 * small >= percent * np.maximum(n[part, None], m[None, :])
+        i, j = np.nonzero(fits & (of_x[part, None] != of_y[None, :]))
+        i += lo
+        same = np.zeros(len(i), np.int32)
+        for k, least in enumerate(needed):
+            batch = slice(k * BATCH, (k + 1) * BATCH)
+            same += (left[i, batch] == right[j, batch]).sum(axis=1, dtype=np.int32)
+            stay = same >= least
+            i, j, same = i[stay], j[stay], same[stay]
+        agree = (left[i] == right[j]).reshape(-1, BANDS, BAND_ROWS).all(axis=2)
+        first = agree.argmax(axis=1) == x["band"][0].as_py() if len(i) else np.zeros(0, bool)
+        at.append(i[first])
+        to.append(j[first])
+    return np.concatenate(at), np.concatenate(to)
+
+
+def _links(x: pa.Table, y: pa.Table, percent: int) -> tuple[list[bytes], list[bytes]]:
+    """Exact links between the two sides of a block, one per member and component."""
+    if not len(x) or not len(y):
+        return [], []
+    sets = [v.values.to_numpy() for t in (x, y) for v in t["hashes"]]
+    sizes = np.array([len(s) for s in sets])
+    every, number = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    k = len(x)
+    both = np.zeros((k, len(y)), np.float32)
+    order = np.argsort(number, kind="stable")
+    number, owner = number[order], owner[order]
+    for lo in range(0, len(every), 4096):
+        cut = slice(*np.searchsorted(number, [lo, lo + 4096]))
+        has = np.zeros((len(sets), 4096), np.float32)
+        has[owner[cut], number[cut] - lo] = 1
+        both += has[:k] @ has[k:].T
+    union = sizes[:k, None] + sizes[None, k:] - both
+    names, labels = x["cls"].to_pylist(), x["label"].to_pylist()
+    others, of = y["cls"].to_pylist(), y["label"].to_pylist()
+    a, b = [], []
+    for i, row in enumerate(100 * both >= percent * union):
+        done = {labels[i]}
+        for j in np.flatnonzero(row):
+            if of[j] not in done:
+                done.add(of[j])
+                a.append(names[i])
+                b.append(others[j])
+    return a, b
 
 
 def _ordered(met: DataFrame, x, y) -> DataFrame:
@@ -245,8 +366,8 @@ def _confirmed(
         alive = np.ones(len(x), bool)
         if len(x):
             same = np.zeros(len(x), np.int64)
-            left = np.frombuffer(b"".join(x), np.uint32).reshape(len(x), -1)
-            right = np.frombuffer(b"".join(y), np.uint32).reshape(len(y), -1)
+            left = np.frombuffer(b"".join(x), np.uint16).reshape(len(x), -1)
+            right = np.frombuffer(b"".join(y), np.uint16).reshape(len(y), -1)
             for i, least in enumerate(needed):
                 at = np.flatnonzero(alive)
                 part = slice(i * BATCH, (i + 1) * BATCH)
