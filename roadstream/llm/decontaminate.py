@@ -21,7 +21,7 @@ from roadstream.llm.common import in_arrow, written
 #: Words of half a window; windows overlap by half.
 HALF = 16
 #: Dimensions that are kept, and those that the sketch has besides.
-RANK, EXTRA = 96, 16
+RANK, EXTRA = 160, 16
 #: A term in a larger share of passages has no weight, unless an item has no better ones.
 MAX_DF, RAREST = 0.03, 8
 #: Bytes of benchmark text that are searched for in one go.
@@ -47,14 +47,15 @@ def leaks(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     answer_col: str | None = None,
-    cosine: float = 0.35,
+    cosine: float = 0.55,
     coverage: float = 0.8,
     coverage_with_answer: float = 0.6,
 ) -> DataFrame:
     """Per document and item that leaks into it: ``id``, ``item_id``, ``start``, ``end``,
     ``cosine``, ``coverage``, ``answered``.
 
-    A window of words is a candidate if its cosine with the item reaches ``cosine``. It is
+    A window of words is a candidate if its cosine with the item in the latent space
+    reaches ``cosine``. It is
     a leak if the longest common subsequence of the item and the words around the window
     covers ``coverage`` of the item, or ``coverage_with_answer`` while the answer stands
     there word for word. The answer is ``answer_col`` or else the item's last five words.
@@ -271,8 +272,8 @@ def common_subsequence(item_bits: dict[int, int], n: int, region: np.ndarray) ->
 
 def _matches(numbered, items: _Items, weight, basis, cosine, coverage, with_answer) -> DataFrame:
     own = _item_vectors(items, weight)
-    norms = np.linalg.norm(own, axis=1)
-    latent = ((own @ basis) / np.maximum(norms, 1e-9)[:, None]).astype(np.float32)
+    latent = own @ basis
+    latent = (latent / np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]).astype(np.float32)
     bits = []
     for row in items.rows:
         one: dict[int, int] = {}
@@ -294,11 +295,10 @@ def _matches(numbered, items: _Items, weight, basis, cosine, coverage, with_answ
 
     def search(batches: Iterator[dict]) -> Iterator[dict]:
         w, weighed, latent, bits, lengths, answers, ids = shared.value
-        squares = w * w
         for b in batches:
             flat, first, counts = _laid_out(b["terms"])
             best: dict[tuple[int, int], tuple] = {}
-            for window, item, cos in _near(flat, weighed, squares, latent, cosine):
+            for window, item, cos in _near(flat, weighed, latent, cosine):
                 text = int(np.searchsorted(first, window, "right")) - 1
                 start = int(first[text]) * HALF
                 n = int(lengths[item])
@@ -331,21 +331,19 @@ def _holds(region: np.ndarray, answer: bytes) -> bool:
     return False
 
 
-def _near(flat, weighed, squares, latent, cosine: float):
+def _near(flat, weighed, latent, cosine: float):
     """(first half window, item, cosine) of the candidate windows, in order."""
     if not len(latent):
         return
-    at = np.flatnonzero(squares[flat])
+    at = np.flatnonzero(weighed.any(axis=1)[flat])
     for lo, hi in _cuts(at // HALF):
         cut = at[lo:hi]
         half, sums = _sums(cut // HALF, weighed[flat[cut]])
-        _, mass = _sums(cut // HALF, squares[flat[cut]])
         # A window is a half and the one after it, if that has any weight.
         follows = np.r_[half[1:] == half[:-1] + 1, False]
-        u, m = sums.copy(), mass.copy()
+        u = sums.copy()
         u[follows] += sums[1:][follows[:-1]]
-        m[follows] += mass[1:][follows[:-1]]
-        scores = (u @ latent.T) / np.sqrt(np.maximum(m, 1e-12))[:, None]
+        scores = (u @ latent.T) / np.maximum(np.linalg.norm(u, axis=1), 1e-9)[:, None]
         hit, item = np.nonzero(scores >= cosine)
         yield from zip(half[hit].tolist(), item.tolist(), scores[hit, item].tolist(), strict=True)
 
@@ -355,7 +353,7 @@ def _cuts(halves: np.ndarray, most: int = 50_000) -> Iterator[tuple[int, int]]:
     range before, so that no window is lost."""
     lo, n = 0, len(halves)
     while lo < n:
-        hi = min(n, lo + most)
+        hi = min(n, lo + max(most, 2 * HALF))
         if hi < n:
             hi = int(np.searchsorted(halves, halves[hi - 1], "right"))
         yield lo, hi

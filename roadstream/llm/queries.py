@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream.llm.common import table
+from roadstream.llm.decontaminate import leaks
 from roadstream.llm.neardup import near_duplicates
 from roadstream.llm.quality import quality
 
@@ -18,6 +19,12 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that stands in it."""
+    found = leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Keep or reject every document by its perplexity; labelled clean texts are trusted."""
     trusted = table(spark, folder, "labels").where("quality = 1 and toxic = 0")
@@ -28,7 +35,11 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_near_duplicates": op2_near_duplicates, "op10_quality": op10_quality}
+    return {
+        "op2_near_duplicates": op2_near_duplicates,
+        "op9_benchmark_leaks": op9_benchmark_leaks,
+        "op10_quality": op10_quality,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
