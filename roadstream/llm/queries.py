@@ -11,6 +11,7 @@ from roadstream.llm.common import table
 from roadstream.llm.decontaminate import leaks
 from roadstream.llm.neardup import near_duplicates
 from roadstream.llm.quality import quality
+from roadstream.llm.secrets import digests, scan
 
 
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,6 +20,11 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document; a source is taken as both repository and owner."""
+    return digests(scan(table(spark, folder, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     """Every pair of a document and a benchmark item that stands in it."""
     found = leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -37,6 +43,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_near_duplicates": op2_near_duplicates,
+        "op3_secrets": op3_secrets,
         "op9_benchmark_leaks": op9_benchmark_leaks,
         "op10_quality": op10_quality,
     }
