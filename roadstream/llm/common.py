@@ -95,12 +95,12 @@ def numbered(
     sizes = salted.groupBy(*group, "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.withColumn("_before", before_this(F.col("_n"), group, ["_salt"]))
     w = _window([*group, "_salt"], order)
-    local = salted.withColumn("_no", F.row_number().over(w).cast("bigint") - 1)
+    local = salted.withColumn("_nth", F.row_number().over(w).cast("bigint") - 1)
     keys = [*group, "_salt"]
     return (
         local.join(F.broadcast(before.drop("_n")) if not group else before.drop("_n"), keys)
-        .withColumn(name, F.col("_no") + F.col("_before") + start)
-        .drop("_no", "_before", "_salt")
+        .withColumn(name, F.col("_nth") + F.col("_before") + start)
+        .drop("_nth", "_before", "_salt")
     )
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream.llm.common import table
 from roadstream.llm.decontaminate import leaks
 from roadstream.llm.neardup import near_duplicates
+from roadstream.llm.packing import pack
 from roadstream.llm.quality import quality
 from roadstream.llm.secrets import digests, scan
 
@@ -25,6 +27,12 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return digests(scan(table(spark, folder, "documents"))).withColumnRenamed("id", "doc_id")
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return pack(table(spark, folder, "documents"), tokenizer).withColumnRenamed("id", "doc_id")
+
+
 def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     """Every pair of a document and a benchmark item that stands in it."""
     found = leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -44,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_near_duplicates": op2_near_duplicates,
         "op3_secrets": op3_secrets,
+        "op7_packing": op7_packing,
         "op9_benchmark_leaks": op9_benchmark_leaks,
         "op10_quality": op10_quality,
     }
