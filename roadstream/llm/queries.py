@@ -14,6 +14,13 @@ from roadstream.llm.neardup import near_duplicates
 from roadstream.llm.packing import pack
 from roadstream.llm.quality import quality
 from roadstream.llm.secrets import digests, scan
+from roadstream.llm.warc import archived
+
+
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages as WARC records, written and read back."""
+    names = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return archived(table(spark, folder, "pages")).select(*names)
 
 
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
@@ -50,6 +57,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": op1_warc,
         "op2_near_duplicates": op2_near_duplicates,
         "op3_secrets": op3_secrets,
         "op7_packing": op7_packing,
@@ -59,4 +67,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_warc": """
+            with p as (select page_id, coalesce(html, '') h from pages),
+            f as (select *, case when octet_length(encode(h)) >= 100 then min(page_id) over (partition by h) end m from p)
+            select page_id, octet_length(encode(h))::bigint payload_bytes, sha256(h) payload_digest,
+              case when page_id > m then 'revisit' else 'response' end record_type,
+              case when page_id > m then m end refers_to
+            from f""",
+    }

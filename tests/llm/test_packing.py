@@ -92,7 +92,7 @@ def test_plan_uses_all_counts_with_little_padding(seed):
 
 def test_least_squares_meets_a_solvable_histogram():
     counts = np.zeros(101, np.int64)
-    counts[[30, 70, 20, 50]] = [50, 50, 40, 20]
+    counts[[30, 70, 20, 50]] = [90, 50, 40, 60]
     ways = P.fillings(counts, 100)
     x = P.repeats(ways, counts)
     left = counts.astype(float)
