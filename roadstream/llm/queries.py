@@ -14,6 +14,8 @@ from roadstream.llm.neardup import near_duplicates
 from roadstream.llm.packing import pack
 from roadstream.llm.quality import quality
 from roadstream.llm.secrets import digests, scan
+from roadstream.llm.sharding import shards
+from roadstream.llm.training_order import training_order
 from roadstream.llm.warc import archived
 
 
@@ -34,12 +36,27 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return digests(scan(table(spark, folder, "documents"))).withColumnRenamed("id", "doc_id")
 
 
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes, tokens and rows."""
+    placed = shards(table(spark, folder, "documents"), 40).withColumnRenamed("id", "doc_id")
+    names = ("doc_id", "size", "text_crc32")
+    return placed.select(
+        *names, F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "tokens"
+    )
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return pack(table(spark, folder, "documents"), tokenizer).withColumnRenamed("id", "doc_id")
 
 
+def op8_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as fixed-stride sequences in a keyed order, read back from the shards."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return training_order(table(spark, folder, "documents"), tokenizer).withColumnRenamed("id", "doc_id")
+
+
 def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     """Every pair of a document and a benchmark item that stands in it."""
     found = leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -60,7 +77,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_warc": op1_warc,
         "op2_near_duplicates": op2_near_duplicates,
         "op3_secrets": op3_secrets,
+        "op4_sharding": op4_sharding,
         "op7_packing": op7_packing,
+        "op8_training_order": op8_training_order,
         "op9_benchmark_leaks": op9_benchmark_leaks,
         "op10_quality": op10_quality,
     }
