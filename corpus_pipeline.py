@@ -1,16 +1,35 @@
 """From raw documents to training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns
-the columns of ``documents``; the last returns pieces of sequences.
+the columns of ``documents``; the last returns pieces of sequences. ``docs`` is a table
+read from files, so that a row's number tells it from rows with the same or no id.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream.llm.common import table, written
+from roadstream.llm.decontaminate import leaks
+from roadstream.llm.neardup import near_duplicates
+from roadstream.llm.packing import pack
 from roadstream.llm.quality import quality
+from roadstream.llm.secrets import redact, scan
+from roadstream.plans import fits_broadcast
+
+
+def _with_number(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_row", F.monotonically_increasing_id())
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``docs`` but for the row numbers in ``rows``; texts are shuffled only if these are
+    too many to be sent to every task."""
+    gone = written(rows.select("_row").distinct())
+    gone = F.broadcast(gone) if fits_broadcast(gone) else gone
+    return _with_number(docs).join(gone, "_row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +38,44 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality(docs, trusted, keep_rows=True).where("kept").select("row.*")
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are alike (five-word shingles, similarity 0.8) the one with the
+    smallest id stays, of repeated rows the first, one without an id only if none has one."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("_row").alias("row"))
+    rows = _with_number(docs).select(order.alias("place"), "text")
+    found = near_duplicates(rows, "place", size=5, percent=80)
+    return _without(docs, found.where("not kept").select(F.col("id.row").alias("_row")))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a benchmark item stands go."""
+    rows = _with_number(docs).select("_row", "text")
+    found = leaks(rows, table(spark, sf_dir, "benchmark"), "_row")
+    return _without(docs, found.select(F.col("id").alias("_row")))
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; live secrets are replaced in their texts."""
+    clean = redact(scan(docs, keep_rows=True))
+    if "n_chars" not in docs.columns:
+        return clean
+    changed = F.contains("text", F.lit("[SECRET]"))
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 1024 tokens."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return pack(docs, path).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
     ("quality classifier", quality_stage),
+    ("near duplicates", near_dedup_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("secret scan", secrets_stage),
+    ("packing", packing_stage),
 ]
 
 #: Models, shingle sets and the tokenizer are beyond SQL; the stages are tested by hand.

@@ -106,7 +106,7 @@ def materialise(
     kind = "<u4" if wide else "<u2"
     order = Permutation(total, key)
     schema = StructType.fromDDL("slot long, shard int").add(rows.schema["id"])
-    for name, of in (("start", "long"), ("length", "int"), ("record", "binary")):
+    for name, of in (("start", "long"), ("length", "integer"), ("record", "binary")):
         schema = schema.add(name, of)
 
     def cut(batches: Iterator[dict]) -> Iterator[dict]:
@@ -137,7 +137,7 @@ def materialise(
     n_shards = max(1, -(-total // shard_rows))
     ranged = made.repartition(n_shards, "shard").sortWithinPartitions("shard", "slot")
     out = StructType.fromDDL("slot long, shard int, position long, path string").add(rows.schema["id"])
-    out = out.add("start", "long").add("length", "int")
+    out = out.add("start", "long").add("length", "integer")
 
     def write(batches: Iterator[dict]) -> Iterator[dict]:
         store, base = fs.FileSystem.from_uri(folder)
