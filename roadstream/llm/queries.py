@@ -12,6 +12,7 @@ from roadstream.llm.common import table
 from roadstream.llm.decontaminate import leaks
 from roadstream.llm.neardup import near_duplicates
 from roadstream.llm.packing import pack
+from roadstream.llm.polytope import neighbours
 from roadstream.llm.quality import quality
 from roadstream.llm.secrets import digests, scan
 from roadstream.llm.sharding import shards
@@ -45,6 +46,11 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector, among all vectors."""
+    return neighbours(table(spark, folder, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_near_duplicates": op2_near_duplicates,
         "op3_secrets": op3_secrets,
         "op4_sharding": op4_sharding,
+        "op5_neighbours": op5_neighbours,
         "op7_packing": op7_packing,
         "op8_training_order": op8_training_order,
         "op9_benchmark_leaks": op9_benchmark_leaks,
