@@ -195,21 +195,22 @@ def _gram(numbered: DataFrame, items: _Items, weight: np.ndarray, right: np.ndar
 
     def product(batches: Iterator[dict]) -> Iterator[dict]:
         w, omega = shared.value
+        weighed = omega * w[:, None]
         total, part = np.zeros((size, width), np.float32), 0
         for b in batches:
             flat, _, _ = _laid_out(b["terms"])
             at = np.flatnonzero(w[flat])
             part += len(flat)
-            for lo in range(0, len(at), 100_000):
-                cut = at[lo : lo + 100_000]
-                terms = flat[cut]
-                passage, inverse = np.unique(cut // (2 * HALF), return_inverse=True)
-                weighed = omega[terms] * w[terms][:, None]
-                _, u = _sums(passage[inverse], weighed)
-                order = np.argsort(terms, kind="stable")
-                back = u[inverse[order]] * w[terms[order]][:, None]
-                seen, s = _sums(terms[order], back)
-                total[seen] += s
+            for lo, hi in _cuts(at // (2 * HALF), 512, again=False):
+                cut = at[lo:hi]
+                seen, term = np.unique(flat[cut], return_inverse=True)
+                passage = np.cumsum(np.diff(cut // (2 * HALF), prepend=-1) > 0) - 1
+                # How often each of these few passages has each of its terms.
+                shape = (int(passage[-1]) + 1, len(seen))
+                times = np.bincount(passage * shape[1] + term, minlength=shape[0] * shape[1])
+                times = times.reshape(shape).astype(np.float32)
+                total[seen] += times.T @ (times @ weighed[seen])
+        total *= w[:, None]
         for lo in range(0, size, TERMS):
             piece = total[lo : lo + TERMS]
             if piece.any():
@@ -348,15 +349,15 @@ def _near(flat, weighed, latent, cosine: float):
         yield from zip(half[hit].tolist(), item.tolist(), scores[hit, item].tolist(), strict=True)
 
 
-def _cuts(halves: np.ndarray, most: int = 50_000) -> Iterator[tuple[int, int]]:
-    """Ranges of about ``most`` entries; each begins anew with the last half window of the
-    range before, so that no window is lost."""
+def _cuts(halves: np.ndarray, most: int = 2000, again: bool = True) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``most`` entries that part no half window; with ``again`` each begins
+    anew with the last half of the range before, so that no pair of halves is lost."""
     lo, n = 0, len(halves)
     while lo < n:
-        hi = min(n, lo + max(most, 2 * HALF))
+        hi = min(n, lo + max(most, 4 * HALF))
         if hi < n:
             hi = int(np.searchsorted(halves, halves[hi - 1], "right"))
         yield lo, hi
         if hi >= n:
             return
-        lo = int(np.searchsorted(halves, halves[hi - 1], "left"))
+        lo = int(np.searchsorted(halves, halves[hi - 1], "left")) if again else hi

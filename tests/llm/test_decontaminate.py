@@ -87,6 +87,8 @@ def test_cuts_leave_no_window_out():
     import numpy as np
 
     halves = np.repeat(np.arange(50), 8)
+    parts = list(D._cuts(halves, 70, again=False))
+    assert [a for a, _ in parts[1:]] == [b for _, b in parts[:-1]] and all(b % 8 == 0 for _, b in parts)
     for most in (1, 7, 60, 500):
         cuts = list(D._cuts(halves, most))
         pairs = {(int(halves[lo]), int(halves[hi - 1])) for lo, hi in cuts}
