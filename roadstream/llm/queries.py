@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream.llm.common import table
+from roadstream.llm.crf import label_words
 from roadstream.llm.decontaminate import leaks
 from roadstream.llm.neardup import near_duplicates
 from roadstream.llm.packing import pack
@@ -51,6 +52,21 @@ def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours(table(spark, folder, "embeddings"))
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document; three quarters of the labelled ones teach it."""
+    docs = table(spark, folder, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    held_out = F.coalesce(fold == 2, F.lit(False))
+    labelled = label_words(docs, docs.where(~held_out & F.col("lang").isNotNull()))
+    return labelled.select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 4 == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        F.size("runs").alias("n_runs"),
+    )
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -85,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secrets": op3_secrets,
         "op4_sharding": op4_sharding,
         "op5_neighbours": op5_neighbours,
+        "op6_language": op6_language,
         "op7_packing": op7_packing,
         "op8_training_order": op8_training_order,
         "op9_benchmark_leaks": op9_benchmark_leaks,
