@@ -69,8 +69,9 @@ def in_arrow(
     return df.mapInArrow(run, schema)
 
 
-#: Bytes of a batch that is turned into Python objects at once.
-BATCH_BYTES = 8 << 20
+#: Bytes of a batch that is turned into Python objects at once. Arrays over characters take
+#: some thirty times as much.
+BATCH_BYTES = 2 << 20
 
 
 def small_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
