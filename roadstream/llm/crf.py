@@ -207,17 +207,28 @@ def fit(segments: list[tuple[str, str]]) -> Model | None:
     langs = sorted({lang for lang, _ in segments})
     if not langs:
         return None
-    words = Words([s for _, s in segments])
     k = len(langs)
-    label = np.array([langs.index(lang) for lang, _ in segments])[words.text]
-    names, type_of, times = np.unique(words.names(), return_inverse=True, return_counts=True)
-    first = np.full(len(names), words.count)
-    np.minimum.at(first, type_of, np.arange(words.count))
-    is_first = np.zeros(words.count, bool)
+    # Arrays over characters exist for a few segments at a time.
+    parts = [[s for _, s in segments[at : at + 400]] for at in range(0, len(segments), 400)]
+    each = [Words(p) for p in parts]
+    word_names = np.concatenate([w.names() for w in each])
+    chain = np.concatenate([w.text + 400 * i for i, w in enumerate(each)])
+    counts = [w.count for w in each]
+    del each
+    label = np.array([langs.index(lang) for lang, _ in segments])[chain]
+    names, first, type_of, times = np.unique(
+        word_names, return_index=True, return_inverse=True, return_counts=True
+    )
+    is_first = np.zeros(len(chain), bool)
     is_first[first] = True
-    grams = [(b[is_first[o]], type_of[o[is_first[o]]]) for b, o in words.grams()]
+    grams, before = [], 0
+    for p, n in zip(parts, counts, strict=True):
+        mine, types = is_first[before : before + n], type_of[before : before + n]
+        grams += [(b[mine[o]], types[o[mine[o]]].astype(np.int32)) for b, o in Words(p).grams()]
+        before += n
     bucket = np.concatenate([b for b, _ in grams])
     owner = np.concatenate([o for _, o in grams])
+    del grams
     common = times >= LEXICON_COUNT
     entry = np.cumsum(common) - 1
     n_common = int(common.sum())
@@ -225,9 +236,9 @@ def fit(segments: list[tuple[str, str]]) -> Model | None:
     theta = {name: np.zeros(s) for name, s in shapes.items()}
     mean = {name: np.zeros(s) for name, s in shapes.items()}
     square = {name: np.zeros(s) for name, s in shapes.items()}
-    seen = np.zeros((words.count, k))
-    seen[np.arange(words.count), label] = 1
-    starts = np.r_[True, np.diff(words.text) != 0]
+    seen = np.zeros((len(chain), k))
+    seen[np.arange(len(chain)), label] = 1
+    starts = np.r_[True, np.diff(chain) != 0]
     begun = np.bincount(label[starts], minlength=k)
     same = ~starts[1:]
     moved = np.zeros((k, k))
@@ -238,7 +249,7 @@ def fit(segments: list[tuple[str, str]]) -> Model | None:
         )
         per_type[common] += theta["lexicon"]
         out, pairs, begins, _ = forward_backward(
-            per_type[type_of], words.text, theta["moves"], theta["start"], expected=True
+            per_type[type_of], chain, theta["moves"], theta["start"], expected=True
         )
         by_type = np.stack([np.bincount(type_of, (seen - out)[:, j], len(names)) for j in range(k)], axis=1)
         grad = {
@@ -248,7 +259,7 @@ def fit(segments: list[tuple[str, str]]) -> Model | None:
             "start": begun - begins,
         }
         for name, g in grad.items():
-            g = g / words.count - DECAY * theta[name]
+            g = g / len(chain) - DECAY * theta[name]
             mean[name] = 0.9 * mean[name] + 0.1 * g
             square[name] = 0.99 * square[name] + 0.01 * g * g
             m, v = mean[name] / (1 - 0.9**step), square[name] / (1 - 0.99**step)
