@@ -7,10 +7,10 @@ from collections.abc import Callable
 
 import numpy as np
 
-_ENCODERS: dict[str, Callable[[str], list[int]]] = {}
+_ENCODERS: dict[str, Callable[[str], np.ndarray]] = {}
 
 
-def encoder(path: str) -> Callable[[str], list[int]]:
+def encoder(path: str) -> Callable[[str], np.ndarray]:
     """Text to ids, as ``tokenizers`` gives them for the file without special tokens added.
 
     A byte-level BPE whose ids are its merge ranks is run by ``tiktoken``, which gives the
@@ -21,11 +21,11 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     return _ENCODERS[path]
 
 
-def _plain(path: str) -> Callable[[str], list[int]]:
+def _plain(path: str) -> Callable[[str], np.ndarray]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    return lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 def _byte_of_symbol() -> dict[str, int]:
@@ -36,7 +36,7 @@ def _byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def _ranked(path: str) -> Callable[[str], list[int]] | None:
+def _ranked(path: str) -> Callable[[str], np.ndarray] | None:
     import public_tokenizers
     import tiktoken
 
@@ -66,10 +66,10 @@ def _ranked(path: str) -> Callable[[str], list[int]] | None:
     fast = tiktoken.Encoding(
         path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special
     )
-    return lambda text: fast.encode(text, allowed_special="all")
+    return lambda text: fast.encode_to_numpy(text, allowed_special="all")
 
 
-def with_end(ids: list[int], end: int = 0) -> np.ndarray:
+def with_end(ids: np.ndarray, end: int = 0) -> np.ndarray:
     """Ids as little-endian unsigned 32-bit numbers, and the id that ends a document."""
     out = np.empty(len(ids) + 1, "<u4")
     out[:-1] = ids

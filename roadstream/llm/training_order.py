@@ -113,19 +113,25 @@ def materialise(
         encode, task = encoder(tokenizer), TaskContext.get().partitionId()
         index = bases[task]
         for b in batches:
-            at, starts, lengths, records = [], [], [], []
-            for i, text in enumerate(b["text"].to_pylist()):
-                ids = with_end(encode(text or ""))
-                for start in range(0, len(ids), length):
-                    part = np.zeros(length, kind)
-                    n = min(length, len(ids) - start)
-                    part[:n] = ids[start : start + n]
-                    at.append(i)
-                    starts.append(start)
-                    lengths.append(n)
-                    records.append(np.uint32(n).tobytes() + part.tobytes())
+            texts = [with_end(encode(t or "")) for t in b["text"].to_pylist()]
+            sizes = np.array([len(x) for x in texts], np.int64)
+            rows_of = -(-sizes // length)
+            first = np.cumsum(rows_of) - rows_of
+            at = np.repeat(np.arange(len(texts)), rows_of)
+            starts = (np.arange(len(at)) - first[at]) * length
+            lengths = np.minimum(length, sizes[at] - starts)
+            head = 4 // np.dtype(kind).itemsize
+            block = np.zeros((len(at), head + length), kind)
+            block[:, :head] = lengths.astype("<u4")[:, None].view(kind)
+            for x, i, n in zip(texts, first, rows_of, strict=True):
+                filled = np.zeros(n * length, kind)
+                filled[: len(x)] = x
+                block[i : i + n, head:] = filled.reshape(n, length)
             slots = order.slot(np.arange(index, index + len(at)))
             index += len(at)
+            records = pa.Array.from_buffers(
+                pa.binary(block.itemsize * block.shape[1]), len(at), [None, pa.py_buffer(block.tobytes())]
+            )
             yield {
                 "slot": slots, "shard": slots // shard_rows, "id": b["id"].take(pa.array(at, pa.int64())),
                 "start": starts, "length": lengths, "record": records,
