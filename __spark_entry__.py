@@ -7,7 +7,6 @@ The events are sparse, so the queries use wider windows than the library's defau
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -88,7 +87,9 @@ def _watched(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _own_folder(spark: SparkSession) -> str:
-    base = shared_folder(spark) or tempfile.mkdtemp(prefix="roadstream-")
+    base = shared_folder(spark)
+    if base is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base}/queries/{uuid.uuid4().hex}"
 
 
@@ -252,20 +253,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --- the same in SQL -------------------------------------------------------------------
 
 _VIEWS = """
-p as (select epoch_us(ts) // 1000 action_time, json_extract_string(props, '$.k') monitor_id,
+p as (select epoch_us(ts) // 1000 action_time,
+        case event_type when 'signup' then 'u' else '' end
+          || json_extract_string(props, '$.k') monitor_id,
         (event_id % 1000)::varchar camera_id, user_id::varchar car, value speed,
         (json_extract_string(props, '$.k')::int % 10)::varchar road_id, event_type area_id
       from events),
 m as (select p_partkey::varchar monitor_id, (p_partkey % 10)::varchar road_id,
         greatest(p_size - 5, 0)::int speed_limit, p_brand area_id
-      from part where p_partkey < 80),
+      from part),
 pa as (select event_id::varchar police_id, user_id::varchar car,
          event_type action_status, epoch_us(ts) // 1000 action_time
        from events where event_type = 'purchase'),
 vi as (select user_id::varchar car, event_type msg, epoch_us(ts) // 1000 create_time
        from events where event_type = 'error'),
-vl as (select c_custkey::varchar car, c_mktsegment violation, 0::bigint create_time
-       from customer where c_acctbal < 0),
+vl as (select (c_custkey * 3)::varchar car, c_mktsegment || ' ' || (t % 3) violation,
+         t create_time
+       from (select *, case c_custkey % 5 when 0 then c_custkey + 7 else c_custkey end t
+             from customer)),
 limited as (select p.car, p.monitor_id, coalesce(m.road_id, p.road_id) road_id,
               p.speed real_speed, coalesce(m.speed_limit, 60)::int limit_speed,
               p.action_time
@@ -284,12 +289,12 @@ lines as (select action_time || ',' || monitor_id || ',' || camera_id || ',' ||
 def _sliding(slide: int) -> str:
     return f"""
 w as (select ws start_time, ws + {AVG_SIZE} end_time, monitor_id,
-        sum(round(speed * 1000000)::bigint)::bigint s, count(*)::bigint n
+        (sum(speed::decimal(28, 12)) * 1000000)::decimal(38, 6) s, count(*)::bigint n
       from (select p.*, (action_time // {slide} - i) * {slide} ws
             from p, range(0, {-(-AVG_SIZE // slide)}) r(i))
       where ws + {AVG_SIZE} > action_time group by all),
 avg2 as (select start_time, end_time, monitor_id,
-           ((2 * s + n * 10000) // (2 * n * 10000))::double / 100.0::double avg_speed,
+           floor((2 * s + n * 10000)::double / (2 * n * 10000)::double) / 100.0::double avg_speed,
            n car_count
          from w),
 ranked as (select * from (

@@ -14,12 +14,16 @@ from roadstream.constants import (
     TOP_SLIDE_MS,
     WATERMARK_DELAY,
 )
-from roadstream.functions.speed import mean_speed, mean_speed_2dp, speed_units
+from roadstream.functions.speed import mean_speed, mean_speed_2dp, speed_parts
 from roadstream.functions.timing import floor_to, stamped
 
 
-def _sums(units: Column, n: Column) -> tuple[Column, Column]:
-    return F.sum(units).alias("_units"), F.sum(n).alias("car_count")
+_PARTS = ("_units", "_rest", "_n_rest")
+
+
+def _sums(parts, n: Column) -> list[Column]:
+    named = zip(parts, _PARTS, strict=True)
+    return [F.sum(part).alias(name) for part, name in named] + [F.sum(n).alias("car_count")]
 
 
 def _stream_sums(
@@ -32,12 +36,10 @@ def _stream_sums(
     sums = (
         stamped(passages, "action_time", delay)
         .groupBy(window.alias("_window"), "monitor_id")
-        .agg(*_sums(speed_units(F.col("speed")), F.lit(1)))
+        .agg(*_sums(speed_parts(F.col("speed")), F.lit(1)))
     )
     start = F.unix_millis("_window.start")
-    return sums.select(
-        start.alias("start_time"), "monitor_id", "_units", "car_count"
-    )
+    return sums.select(start.alias("start_time"), "monitor_id", *_PARTS, "car_count")
 
 
 def _batch_sums(passages: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
@@ -51,10 +53,10 @@ def _batch_sums(passages: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
         passages.select(
             "monitor_id",
             floor_to(F.col("action_time"), pane_ms).alias("_pane"),
-            speed_units(F.col("speed")).alias("_u"),
+            *[p.alias(n) for p, n in zip(speed_parts(F.col("speed")), _PARTS, strict=True)],
         )
         .groupBy("monitor_id", "_pane")
-        .agg(F.sum("_u").alias("_u"), F.count(F.lit(1)).alias("_n"))
+        .agg(*_sums(map(F.col, _PARTS), F.lit(1)))
     )
     last_start = floor_to(F.col("_pane"), slide_ms)
     first_start = floor_to(F.col("_pane") - size_ms, slide_ms) + slide_ms
@@ -62,9 +64,9 @@ def _batch_sums(passages: DataFrame, size_ms: int, slide_ms: int) -> DataFrame:
     # With a slide above the size a pane may lie between two windows.
     starts = F.when(first_start <= last_start, starts)
     return (
-        panes.select("monitor_id", F.explode(starts).alias("start_time"), "_u", "_n")
+        panes.select("monitor_id", F.explode(starts).alias("start_time"), *_PARTS, "car_count")
         .groupBy("start_time", "monitor_id")
-        .agg(*_sums(F.col("_u"), F.col("_n")))
+        .agg(*_sums(map(F.col, _PARTS), F.col("car_count")))
     )
 
 
@@ -79,7 +81,7 @@ def _averages(
         "start_time",
         (F.col("start_time") + size_ms).alias("end_time"),
         "monitor_id",
-        mean(F.col("_units"), F.col("car_count")).alias("avg_speed"),
+        mean(*map(F.col, _PARTS), F.col("car_count")).alias("avg_speed"),
         "car_count",
     )
 

@@ -9,7 +9,7 @@ _COLUMNS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string",
     "part": "p_partkey bigint, p_brand string, p_size int",
-    "customer": "c_custkey bigint, c_acctbal double, c_mktsegment string",
+    "customer": "c_custkey bigint, c_mktsegment string",
 }
 
 
@@ -31,10 +31,12 @@ def _millis() -> Column:
 
 
 def passages_from(events: DataFrame) -> DataFrame:
+    """Sign-ups pass monitors that no table knows."""
     k = F.get_json_object("props", "$.k")
+    unknown = F.col("event_type") == "signup"
     return events.select(
         _millis().alias("action_time"),
-        k.alias("monitor_id"),
+        F.when(unknown, F.concat(F.lit("u"), k)).otherwise(k).alias("monitor_id"),
         (F.col("event_id") % 1000).cast("string").alias("camera_id"),
         F.col("user_id").cast("string").alias("car"),
         F.col("value").alias("speed"),
@@ -85,27 +87,29 @@ def violations_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def monitors(spark: SparkSession, folder: str) -> DataFrame:
-    """Monitors 80 and above stay unknown; some of the known have limit 0."""
+    """A monitor for each part, some with limit 0; every seventh occurs twice, the second
+    time with an older, lower limit."""
     key = F.col("p_partkey")
-    return (
-        _table(spark, folder, "part")
-        .where(key < 80)
-        .select(
-            key.cast("string").alias("monitor_id"),
-            (key % 10).cast("string").alias("road_id"),
-            F.greatest(F.col("p_size") - 5, F.lit(0)).alias("speed_limit"),
-            F.col("p_brand").alias("area_id"),
-        )
+    parts = _table(spark, folder, "part").withColumn(
+        "_cut", F.explode(F.when(key % 7 == 0, F.array(F.lit(5), F.lit(15))).otherwise(F.array(F.lit(5))))
+    )
+    return parts.select(
+        key.cast("string").alias("monitor_id"),
+        (key % 10).cast("string").alias("road_id"),
+        F.greatest(F.col("p_size") - F.col("_cut"), F.lit(0)).alias("speed_limit"),
+        F.col("p_brand").alias("area_id"),
     )
 
 
 def violation_list(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        _table(spark, folder, "customer")
-        .where(F.col("c_acctbal") < 0)
-        .select(
-            F.col("c_custkey").cast("string").alias("car"),
-            F.col("c_mktsegment").alias("violation"),
-            F.lit(0).cast("bigint").alias("create_time"),
-        )
+    """A watched car for each customer, a third of all car numbers; every fifth is listed
+    twice."""
+    key = F.col("c_custkey")
+    listed = _table(spark, folder, "customer").withColumn(
+        "_time", F.explode(F.when(key % 5 == 0, F.array(key, key + 7)).otherwise(F.array(key)))
+    )
+    return listed.select(
+        (key * 3).cast("string").alias("car"),
+        F.concat("c_mktsegment", F.lit(" "), F.col("_time") % 3).alias("violation"),
+        F.col("_time").alias("create_time"),
     )

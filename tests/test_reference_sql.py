@@ -41,6 +41,10 @@ STATEFUL = [
 ]
 
 
+# Queries of the training-data subpackage are tested in tests/llm.
+SQL = {k: v for k, v in SQL.items() if k != "pipeline" and not k.startswith("op")}
+
+
 @pytest.mark.parametrize(
     "name, folder",
     [(name, SMALL) for name in sorted(SQL)] + [(name, MEDIUM) for name in STATEFUL],
@@ -56,7 +60,21 @@ def test_same_rows(spark, duck, name, folder):
 
 
 def test_queries_without_sql_are_approximate():
-    assert set(contract.queries()) - set(SQL) == {"area_vehicle_count_bloom"}
+    ours = {q for q in contract.queries() if q != "pipeline" and not q.startswith("op")}
+    assert ours - set(SQL) == {"area_vehicle_count_bloom"}
+
+
+def test_monitors_grow_with_the_tables(spark):
+    read = contract.queries()["read_monitors"]
+    sizes = [(read(spark, f).count(), spark.read.parquet(f"{f}/part.parquet").count()) for f in (SMALL, MEDIUM)]
+    assert sizes[0] == (sizes[0][1],) * 2 and sizes[1] == (sizes[1][1],) * 2
+    assert sizes[1][0] > sizes[0][0]
+
+
+def test_streams_need_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(contract, "shared_folder", lambda _: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        contract.queries()["overspeed_stream"](spark, SMALL)
 
 
 def test_entry(spark):

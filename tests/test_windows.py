@@ -1,3 +1,5 @@
+import pytest
+
 from roadstream.operators import (
     average_speed,
     average_speed_2dp,
@@ -72,3 +74,24 @@ def test_rank_is_limited_before_the_shuffle(spark):
     )
     plan = rank_congested(averages)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize(
+    "speeds, mean",
+    [
+        ([1e-7, 1e-7], 1e-7),
+        ([1e13, 3e13], 2e13),
+        ([float("inf"), 5.0], float("inf")),
+        ([float("nan"), 5.0], float("nan")),
+        ([float("inf"), float("-inf")], float("nan")),
+        ([0.1, 0.2, 0.3], 0.2),
+        ([1e-7, 40.25], 20.12500005),
+    ],
+)
+def test_speeds_beyond_the_ordinary(passages, speeds, mean):
+    frame = passages(*[(i, "m", "c", "x", v) for i, v in enumerate(speeds)])
+    exact = average_speed(frame, 100, 100).first()["avg_speed"]
+    rounded = average_speed_2dp(frame, 100, 100).first()["avg_speed"]
+    assert exact == pytest.approx(mean, rel=1e-12, abs=0, nan_ok=True)
+    assert rounded == pytest.approx(mean if abs(mean) > 1e9 or mean != mean else round(mean + 1e-12, 2), nan_ok=True)
+    assert top_congested(frame, 1, 100, 100).count() == 1
