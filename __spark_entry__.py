@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from roadstream import operators as ops
 from roadstream import testmap
 from roadstream.plans import shared_folder
-from roadstream.sources import tables
+from roadstream.sources import read_log_lines, tables
 from roadstream.streaming import jobs, sinks
 from roadstream.streaming.repeats import repeat_plate_stream
 
@@ -25,6 +25,7 @@ DAY = 24 * HOUR
 AVG_SIZE, AVG_SLIDE, TOP_SLIDE = 5 * HOUR, HOUR, 2 * HOUR
 GAP = HOUR // 2
 TOLERANCE = 6 * HOUR
+CAR = "3"
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -82,6 +83,35 @@ def _watched(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _tracks(spark: SparkSession, sf: str) -> DataFrame:
+    return ops.track_rows(_watched(spark, sf))
+
+
+def _newest_row(spark: SparkSession, sf: str) -> DataFrame:
+    """The row under the first key of a car's trajectory."""
+    newest = ops.car_track(_tracks(spark, sf), CAR).first()
+    return ops.lookup_track(_tracks(spark, sf), newest["row_key"])
+
+
+def _from_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages from log files that hold their lines."""
+    folder = f"{_own_folder(spark)}/logs"
+    _lines(spark, sf).write.text(folder)
+    return ops.parse_passages(read_log_lines(spark, folder, "*.txt", streaming=False))
+
+
+def _estimates(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact counts, and whether the approximate ones lie within five standard errors."""
+    passages, rsd = testmap.passages(spark, sf), 0.02
+    keys = ["area_id", "start_time", "end_time"]
+    about = ops.area_vehicle_count_bloom(passages, DAY, rsd=rsd)
+    both = ops.area_vehicle_count(passages, DAY).join(
+        about.withColumnRenamed("car_count", "estimate"), keys
+    )
+    near = F.abs(F.col("estimate") - F.col("car_count")) <= 5 * rsd * F.col("car_count")
+    return both.select(*keys, "car_count", near.alias("within_bound"))
+
+
 # Streams over the whole events table. Each runs until its input is read, into a table of
 # its own in the shared folder.
 
@@ -218,6 +248,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             testmap.violation_list(s, d)
         ),
         "parse_passages": lambda s, d: ops.parse_passages(_lines(s, d)),
+        "read_log_lines": _from_logs,
         "parse_police_actions": lambda s, d: ops.parse_police_actions(
             _action_lines(s, d)
         ),
@@ -228,7 +259,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "with_speed_limits": _with_monitors(ops.with_speed_limits),
         "severe_overspeed": _with_monitors(ops.severe_overspeed),
         "watchlist_passages": _watched,
-        "track_rows": lambda s, d: ops.track_rows(_watched(s, d)),
+        "track_rows": _tracks,
+        "car_track": lambda s, d: ops.car_track(_tracks(s, d), CAR),
+        "lookup_track": _newest_row,
         # windows
         "average_speed": _on_passages(ops.average_speed, AVG_SIZE, AVG_SLIDE),
         "average_speed_2dp": _on_passages(ops.average_speed_2dp, AVG_SIZE, TOP_SLIDE),
@@ -236,7 +269,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_congested_report": lambda s, d: ops.top_congested_report(top(s, d)),
         "area_vehicle_count": _on_passages(ops.area_vehicle_count, DAY),
         "area_vehicle_count_running": _on_passages(ops.area_vehicle_count_running, DAY),
-        "area_vehicle_count_bloom": _on_passages(ops.area_vehicle_count_bloom, DAY),
+        "area_vehicle_count_bloom": _estimates,
         # matching, patterns, state
         "police_interval_join": _on_police(
             ops.police_interval_join, tolerance_ms=TOLERANCE
@@ -394,6 +427,23 @@ def _batch_sql() -> dict[str, str]:
             "select 'row_' || car || '_' || (9223372036854775807 - action_time) row_key, "
             "car, action_time, monitor_id, road_id, speed from watched"
         ),
+        "read_log_lines": _sql(
+            "select action_time, monitor_id, camera_id, car, speed, road_id, area_id "
+            "from p where area_id not in ('click', 'error')"
+        ),
+        "car_track": _sql(
+            "select 'row_' || car || '_' || (9223372036854775807 - action_time) row_key, "
+            f"car, action_time, monitor_id, road_id, speed from watched where car = '{CAR}'"
+        ),
+        "lookup_track": _sql(
+            "select 'row_' || car || '_' || (9223372036854775807 - action_time) row_key, "
+            f"car, action_time, monitor_id, road_id, speed from watched where car = '{CAR}' "
+            f"and action_time = (select max(action_time) from watched where car = '{CAR}')"
+        ),
+        "area_vehicle_count_bloom": _sql(
+            f"select area_id, {area_window} start_time, {area_window} + {DAY} end_time, "
+            "count(distinct car)::bigint car_count, true within_bound from p group by all"
+        ),
         "average_speed": _sql(
             "select start_time, end_time, monitor_id, "
             "s::double / (n * 1000000)::double avg_speed, n car_count from w",

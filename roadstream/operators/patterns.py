@@ -7,9 +7,9 @@ from roadstream.constants import (
     DANGER_EVENT,
     DANGER_HEAD,
     DEFAULT_SPEED_LIMIT,
-    NO_DELAY,
     PATTERN_SPAN_MS,
     SEVERE_FACTOR,
+    WATERMARK_DELAY,
 )
 from roadstream.functions.timing import span, stamped
 from roadstream.operators.enrich import severe_overspeed
@@ -46,7 +46,8 @@ def dangerous_driving(
         "_text", F.format_string(DANGER_EVENT, *_EVENT)
     )
     following = numbered.withColumn(
-        "_near", F.collect_list(F.struct("_no", "_text")).over(ahead)
+        # A window ordered by time alone gives equal times in any order.
+        "_near", F.sort_array(F.collect_list(F.struct("_no", "_text")).over(ahead))
     ).where(F.col("_home") == F.col("_block"))
     # Passages at the same time are near each other; only later numbers follow.
     texts = F.transform(
@@ -72,13 +73,15 @@ def dangerous_driving(
 
 
 def dangerous_pairs(
-    severe: DataFrame, span_ms: int = PATTERN_SPAN_MS, delay: str = NO_DELAY
+    severe: DataFrame, span_ms: int = PATTERN_SPAN_MS, delay: str = WATERMARK_DELAY
 ) -> DataFrame:
     """First and last passage of every run, from a stream of severe passages.
 
     A self join on the watermark keeps only one span of passages in state. Passages of a
     car are taken in the order of time, monitor and road; the passages between the two
-    ends, and so the text, are left to the batch operator.
+    ends, and so the text, are left to the batch operator. Passages that are equal in all
+    columns, or differ in their camera alone, do not pair with each other. Every pair
+    within the span is a row, so the output grows with the number of runs.
     """
     block_ms = _SPANS_PER_BLOCK * span_ms
     first = in_blocks(stamped(severe, "action_time", delay), "action_time", block_ms)

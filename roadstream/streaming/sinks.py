@@ -79,9 +79,19 @@ def append_table(path: str, time_col: str | None = None, zone: str = "UTC") -> S
     return write
 
 
-def read_appended(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of all batches, with ``day`` where the table is split by it."""
-    return spark.read.parquet(path).drop("batch_id")
+def read_appended(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """The rows of all batches, with ``day`` where the table is split by it.
+
+    With ``schema``, a table of which no batch has been written yet is empty; without it
+    that is an error, as its columns are unknown."""
+    try:
+        return spark.read.parquet(path).drop("batch_id")
+    except AnalysisException as missing:
+        if schema is None or missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def append_jdbc(url: str, table: str, properties: dict | None = None) -> Sink:

@@ -2,7 +2,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SMALL
-from roadstream import schemas
+from roadstream import schemas, testmap
 from roadstream.sources import lines as line_sources
 from roadstream.sources import tables
 from roadstream.streaming import sinks
@@ -153,3 +153,19 @@ def test_stored_warnings_call_the_cameras_monitors(spark, rows):
     table = sinks.repeat_car_table(warnings)
     assert table.columns == schemas.REPEAT_CAR.fieldNames()
     assert rows(table) == [("a", "c1", "c2", "m", 5)]
+
+
+def test_a_table_without_batches_is_empty(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert sinks.read_appended(spark, path, schemas.PASSAGE).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sinks.read_appended(spark, path)
+
+
+def test_console_takes_the_rows(spark):
+    query = sinks.console(testmap.passages_stream(spark, SMALL).select("car"))
+    query.processAllAvailable()
+    seen = sum(p["numInputRows"] for p in query.recentProgress)
+    query.stop()
+    assert "Console" in query.lastProgress["sink"]["description"]
+    assert seen == testmap.passages(spark, SMALL).count()
