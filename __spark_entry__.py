@@ -204,6 +204,15 @@ def _stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 tolerance_ms=TOLERANCE,
             )
         ),
+        "police_match_stream": _job_into_table(
+            lambda s, d, table, run: jobs.police_job(
+                testmap.police_actions_stream(s, d),
+                testmap.violations_stream(s, d),
+                sinks.append_table(table),
+                tolerance_ms=TOLERANCE,
+                **run,
+            )
+        ),
         "dangerous_pairs_stream": lambda s, d: _stream_into_table(
             ops.dangerous_pairs(
                 ops.severe_overspeed(
@@ -383,6 +392,11 @@ def oracle_sql() -> dict[str, str]:
         # The newest update of every window, open ones included.
         "area_vehicle_count_running_stream": batch["area_vehicle_count"],
         "police_interval_join_stream": batch["police_interval_join"],
+        # Left-over rows appear once the watermark of both inputs has passed them.
+        "police_match_stream": f"""select * from ({batch["police_match"]})
+            where kind = 'matched' or coalesce(action_time, create_time) + {TOLERANCE} < (
+              select least(max(epoch_us(ts) // 1000) filter (event_type = 'purchase'),
+                max(epoch_us(ts) // 1000) filter (event_type = 'error')) from events)""",
         "dangerous_pairs_stream": _sql(
             f"""select a.car, a.action_time create_time, a.real_speed,
                   a.limit_speed::double limit_speed, b.action_time last_time
