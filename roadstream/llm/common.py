@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from roadstream.plans import shared_folder
+from roadstream.plans import working_folder
 
 #: Rows that one salt of ``numbered`` holds on average.
 ROWS_PER_SALT = 200_000
@@ -20,10 +20,7 @@ LEAST_SALTS = 64
 
 def own_folder(spark: SparkSession) -> str:
     """A new folder in the shared folder that the session names."""
-    base = shared_folder(spark)
-    if base is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/roadstream-{uuid.uuid4().hex}"
+    return f"{working_folder(spark)}/roadstream-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -44,6 +41,7 @@ def in_arrow(
 ) -> DataFrame:
     """``df.mapInArrow`` where ``work`` gets each batch as a dict of Arrow arrays and
     yields dicts of columns; a batch is cut so that its Python objects stay small."""
+    _bound_batches(df.sparkSession)
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     target = to_arrow_schema(schema)
@@ -69,6 +67,18 @@ def in_arrow(
     return df.mapInArrow(run, schema)
 
 
+#: Rows that Spark hands to Python at a time, where the session does not say: its default of
+#: ten thousand whole texts would be tens of megabytes on both sides, or gigabytes.
+ARROW_ROWS, ARROW_BYTES = 1024, 8 << 20
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    prefix = "spark.sql.execution.arrow"
+    for key, value in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
+        if spark.conf.get(f"{prefix}.{key}", None) is None:
+            spark.conf.set(f"{prefix}.{key}", str(value))
+
+
 #: Bytes of a batch that is turned into Python objects at once. Arrays over characters take
 #: some thirty times as much.
 BATCH_BYTES = 2 << 20

@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import xxhash
 
-_MOST_WORDS = 500_000
+_MOST_WORDS = 100_000
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _S33 = np.uint64(33)
