@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from roadstream import operators as ops
 from roadstream import testmap
-from roadstream.plans import shared_folder
+from roadstream.plans import working_folder
 from roadstream.sources import read_log_lines, tables
 from roadstream.streaming import jobs, sinks
 from roadstream.streaming.repeats import repeat_plate_stream
@@ -117,10 +117,7 @@ def _estimates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _own_folder(spark: SparkSession) -> str:
-    base = shared_folder(spark)
-    if base is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base}/queries/{uuid.uuid4().hex}"
+    return f"{working_folder(spark)}/queries/{uuid.uuid4().hex}"
 
 
 def _finished(query) -> None:

@@ -2,7 +2,7 @@
 
 from roadstream.plans.copies import fold_copies, unfold_copies
 from roadstream.plans.dimensions import fits_broadcast, join_dimension, one_per_key
-from roadstream.plans.lineage import shared_folder, cut_lineage
+from roadstream.plans.lineage import cut_lineage, shared_folder, working_folder
 from roadstream.plans.timeblocks import in_blocks
 
 __all__ = [
@@ -14,4 +14,5 @@ __all__ = [
     "one_per_key",
     "shared_folder",
     "unfold_copies",
+    "working_folder",
 ]

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import MEDIUM, SMALL
+from roadstream.plans import lineage
 
 SQL = contract.oracle_sql()
 
@@ -71,10 +72,12 @@ def test_monitors_grow_with_the_tables(spark):
     assert sizes[1][0] > sizes[0][0]
 
 
-def test_streams_need_a_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr(contract, "shared_folder", lambda _: None)
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(lineage, "shared_folder", lambda _: None)
+    assert lineage.working_folder(spark).startswith("/")
+    monkeypatch.setattr(spark.sparkContext, "master", "local-cluster[2,1,1024]")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        contract.queries()["overspeed_stream"](spark, SMALL)
+        lineage.working_folder(spark)
 
 
 def test_entry(spark):
