@@ -289,6 +289,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+# The texts of warnings and reports in the SQL below must come out letter by
+# letter as the operators write them.
+
 # --- the same in SQL -------------------------------------------------------------------
 
 _VIEWS = """
