@@ -114,7 +114,7 @@ class Model:
         return out
 
     def marginals(self, words: Words) -> np.ndarray:
-        return forward_backward(self.emissions(words), words.text, self.moves, self.start)[0]
+        return marginals(self.emissions(words), words.text, self.moves, self.start)
 
 
 def forward_backward(
@@ -170,6 +170,55 @@ def forward_backward(
     return out, pairs, begun, log_z
 
 
+#: Positions of a block of the blocked form.
+BLOCK = 128
+
+
+def marginals(scores: np.ndarray, chain: np.ndarray, moves: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The marginals of ``forward_backward`` in steps whose number does not grow with the
+    longest chain. A position is a matrix, that of a chain's first position forgets what
+    was before, so that all chains are one product; it is cut into blocks that are
+    multiplied side by side, and what enters each block is passed along block by block."""
+    n, k = scores.shape
+    if not n:
+        return np.zeros((0, k))
+    blocks = -(-n // BLOCK)
+    local = np.ones((blocks * BLOCK, k))
+    local[:n] = np.exp(scores - scores.max(axis=1, keepdims=True))
+    # What fills the last block is a chain of its own.
+    first = np.ones(blocks * BLOCK, bool)
+    first[:n] = np.r_[True, np.diff(chain) != 0]
+    move = np.exp(moves - moves.max())
+    begin = np.broadcast_to(np.exp(start - start.max()), (k, k))
+    local, first = local.reshape(blocks, BLOCK, k), first.reshape(blocks, BLOCK)
+
+    def step(t: int) -> np.ndarray:
+        return np.where(first[:, t, None, None], begin, move) * local[:, t, None, :]
+
+    whole = step(0)
+    for t in range(1, BLOCK):
+        whole = whole @ step(t)
+        whole /= whole.sum(axis=(1, 2), keepdims=True)
+    enter, leave = np.ones((blocks, k)) / k, np.ones((blocks, k)) / k
+    for b in range(1, blocks):
+        a = enter[b - 1] @ whole[b - 1]
+        enter[b] = a / a.sum()
+        z = whole[blocks - b] @ leave[blocks - b]
+        leave[blocks - b - 1] = z / z.sum()
+    alpha, a, z = np.empty((blocks, BLOCK, k)), enter, leave
+    for t in range(BLOCK):
+        a = np.where(first[:, t, None], begin[0], a @ move) * local[:, t]
+        a = a / a.sum(axis=1, keepdims=True)
+        alpha[:, t] = a
+    for t in range(BLOCK - 1, -1, -1):
+        alpha[:, t] *= z
+        ahead = z * local[:, t]
+        z = np.where(first[:, t, None], (ahead @ begin[0])[:, None], ahead @ move.T)
+        z = z / z.sum(axis=1, keepdims=True)
+    out = alpha.reshape(-1, k)[:n]
+    return out / out.sum(axis=1, keepdims=True)
+
+
 # --- training --------------------------------------------------------------------------
 
 

@@ -47,6 +47,17 @@ def test_forward_backward_equals_enumeration(seed):
     got = C.forward_backward(scores, chain, moves, start, expected=True)
     for a, b in zip(got, (want, pairs, begun, log_z), strict=True):
         assert np.allclose(a, b)
+    assert np.allclose(C.marginals(scores, chain, moves, start), want)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_blocks_give_the_same_marginals(seed):
+    rng = np.random.default_rng(seed)
+    chain = np.repeat(np.arange(9), rng.choice([1, 2, 127, 128, 129, 700], 9))
+    scores = rng.normal(size=(len(chain), 4)) * 8
+    moves, start = rng.normal(size=(4, 4)) * 3, rng.normal(size=4)
+    want = C.forward_backward(scores, chain, moves, start)[0]
+    assert np.allclose(C.marginals(scores, chain, moves, start), want, atol=1e-9)
 
 
 def code_switched():
