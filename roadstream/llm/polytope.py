@@ -4,11 +4,14 @@ A vector is turned by a pseudo-rotation (three rounds of random signs and a fast
 transform) and assigned to the nearest signed axis. Several such tables index every
 vector; a query looks into the buckets of its nearest axes in each, and what it meets is
 ranked exactly. Largest inner products are reduced to nearest directions by one more
-coordinate, which gives all vectors the norm of the longest.
+coordinate, which gives all vectors of a range of norms the norm of its longest. Ranges are
+narrow and have buckets of their own, so that a few long vectors do not turn all others
+towards that coordinate; a query looks into those whose norms can still reach its k-th score.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +25,9 @@ from roadstream.llm.common import in_arrow, written
 #: the vectors' lengths differ widely.
 TABLES, PROBES = 10, 24
 ROUNDS = 3
+#: The longest norm of a range over its shortest. In a trial with 20,000 directions, lifting
+#: by 1.19 left a recall of 0.98, by 1.41 of 0.96, by 2 of 0.89.
+RATIO = 1.25
 #: Vectors of a bucket that one group compares with as many of its queries at most.
 BLOCK = 4096
 
@@ -49,15 +55,16 @@ def axes(x: np.ndarray, table: int) -> np.ndarray:
     return np.concatenate([x, -x], axis=1)
 
 
-def lifted(x: np.ndarray, longest: float, query: bool) -> np.ndarray:
-    """Unit vectors whose products are inner products over a constant for each query."""
+def lifted(x: np.ndarray, longest: float | np.ndarray, query: bool) -> np.ndarray:
+    """Unit vectors whose products are inner products over a constant for each query and
+    range of norms; ``longest`` is the norm that the vectors, or each of them, are lifted to."""
     n, d = x.shape
     width = 1 << max(d, 1).bit_length()
     out = np.zeros((n, width))
     if query:
         out[:, :d] = x / np.linalg.norm(x, axis=1)[:, None]
     else:
-        out[:, :d] = x / longest
+        out[:, :d] = x / np.reshape(longest, (-1, 1))
         out[:, d] = np.sqrt(np.maximum(0, 1 - (out[:, :d] ** 2).sum(axis=1)))
     return out
 
@@ -84,7 +91,8 @@ def neighbours(
     Queries are the rows whose id is divisible by ``every``; candidates are all rows but
     those with the query's id. Nearness is the inner product in double precision, ties go
     to the smaller id. A query for which the tables hold fewer than ``k`` candidates is
-    compared with all vectors, so that it has fewer results only if there are no more.
+    compared with all vectors, so that it has fewer results only if there are no more; so is
+    any query with the vectors of a range of norms that has fewer of them than buckets.
 
     Rows without an id, and vectors that are null, empty or zero, hold null or non-finite
     components, or differ in length from the commonest length (ties: the longest), take no
@@ -100,17 +108,31 @@ def neighbours(
         return rows.select(
             F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")
         )
-    rows = rows.where(F.col("d") == lengths["d"]).select("id", "v")
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    longest = float(rows.agg(F.sqrt(F.max(square)).alias("m")).first()["m"])
+    rows = rows.where(F.col("d") == lengths["d"]).select("id", "v", _norm("v").alias("norm"))
+    longest = float(rows.agg(F.max("norm").alias("m")).first()["m"])
+    nth = F.floor((F.lit(math.log(longest)) - F.log("norm")) / math.log(RATIO)).cast("int")
+    rows = rows.withColumn("range", nth)
+    # A row for each range of norms.
+    per_range = rows.groupBy("range").agg(F.max("norm").alias("top"), F.count(F.lit(1)).alias("n"))
+    buckets = 2 << max(lengths["d"], 1).bit_length()
+    ranges = written(per_range.withColumn("few", F.col("n") < buckets).drop("n"))
+    rows = rows.join(F.broadcast(ranges), "range")
     queries = rows.where(F.col("id") % every == 0)
-    held = written(_hashed(rows, longest, tables, 0))
-    asked = written(_hashed(queries, longest, tables, probes))
+    held = written(_hashed(rows.where(~F.col("few")), tables, 0))
+    asked = written(_hashed(queries, tables, probes).drop("range"))
     # The nearest axis of each table first: what it gives is a floor for all others.
-    near = written(_nearest(_met(held, asked.where("probe = 0"), k), k))
+    wide = F.broadcast(ranges.where(~F.col("few")).select("range", "top"))
+    near = written(_nearest(_met(held, asked.where("probe = 0").crossJoin(wide), k), k))
     floor = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
-    others = asked.where("probe > 0").drop("floor").join(floor, "id", "left")
-    met = _met(held, others, k).unionByName(near.drop("rank"))
+    # No product exceeds that of the norms, but for rounding.
+    reached = F.col("floor").isNull() | (F.col("norm") * F.col("top") * (1 + 1e-9) >= F.col("floor"))
+    others = asked.where("probe > 0").drop("floor").join(floor, "id", "left").crossJoin(wide).where(reached)
+    small = F.broadcast(ranges.where("few").select("range", "top"))
+    few = _whole(queries).drop("floor", "range").join(floor, "id", "left").crossJoin(small).where(reached)
+    names = ("range", "table", "bucket", "id", "v", "floor")
+    both = others.select(*names).unionByName(few.select(*names))
+    everywhere = held.select(*names).unionByName(_whole(rows.where("few")).select(*names))
+    met = _met(everywhere, both, k).unionByName(near.drop("rank"))
     found = written(_nearest(met, k))
     total = rows.select("id").distinct().count() - 1
     short = (
@@ -120,14 +142,28 @@ def neighbours(
     )
     short = written(short.select("query_id"))
     rest = queries.join(short.withColumnRenamed("query_id", "id"), "id", "left_semi")
-    whole = lambda df: df.select(F.lit(0).alias("table"), F.lit(0).alias("bucket"), "id", "v", F.lit(None).cast("double").alias("floor"))
-    again = _nearest(_met(whole(rows), whole(rest), k), k)
+    one_range = lambda df: _whole(df).withColumn("range", F.lit(0))
+    again = _nearest(_met(one_range(rows), one_range(rest), k), k)
     return found.join(short, "query_id", "left_anti").unionByName(again)
 
 
-def _hashed(rows: DataFrame, longest: float, tables: int, probes: int) -> DataFrame:
-    """(table, bucket, probe, id, v, floor): a row for each bucket that a vector lies in, or
-    that a query looks into, where ``probe`` numbers them from the nearest axis on."""
+def _norm(column: str):
+    """The Euclidean norm; scaled, so that squares of very large or small components hold."""
+    most = F.array_max(F.transform(column, F.abs))
+    square = F.aggregate(column, F.lit(0.0), lambda s, x: s + (x / most) * (x / most))
+    return most * F.sqrt(square)
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """All ``rows`` of a range in one bucket, which no table has."""
+    none = F.lit(None).cast("double").alias("floor")
+    return rows.select("range", F.lit(-1).alias("table"), F.lit(0).alias("bucket"), "id", "v", "norm", none)
+
+
+def _hashed(rows: DataFrame, tables: int, probes: int) -> DataFrame:
+    """(range, table, bucket, probe, id, v, norm, floor): a row for each bucket that a vector
+    lies in, or that a query looks into, where ``probe`` numbers them from the nearest axis
+    on. A query's buckets are the same in each range."""
 
     def read(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
@@ -135,7 +171,7 @@ def _hashed(rows: DataFrame, longest: float, tables: int, probes: int) -> DataFr
             if not n:
                 continue
             x = b["v"].flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-            up = lifted(x, longest, probes > 0)
+            up = lifted(x, b["top"].to_numpy(), probes > 0)
             for t in range(tables):
                 s = axes(up, t)
                 if probes:
@@ -145,15 +181,17 @@ def _hashed(rows: DataFrame, longest: float, tables: int, probes: int) -> DataFr
                     at = s.argmax(axis=1)[:, None]
                 who = pa.array(np.repeat(np.arange(n), at.shape[1]))
                 yield {
+                    "range": b["range"].take(who),
                     "table": np.full(at.size, t),
                     "bucket": at.ravel(),
                     "probe": np.tile(np.arange(at.shape[1]), n),
                     "id": b["id"].take(who),
                     "v": b["v"].take(who),
+                    "norm": b["norm"].take(who),
                     "floor": pa.nulls(at.size, pa.float64()),
                 }
 
-    schema = "table int, bucket int, probe int, id long, v array<double>, floor double"
+    schema = "range int, table int, bucket int, probe int, id long, v array<double>, norm double, floor double"
     return in_arrow(rows, schema, read)
 
 
@@ -163,12 +201,12 @@ def _met(held: DataFrame, asked: DataFrame, k: int) -> DataFrame:
 
     A bucket's vectors and its queries are dealt into parts by their number, so that no
     group is larger than a block of either."""
-    key = ["table", "bucket"]
+    key = ["range", "table", "bucket"]
 
     def parts(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
 
-    # One row a table and signed axis.
+    # One row a range, table and signed axis.
     sizes = F.broadcast(written(parts(held, "_nh").join(parts(asked, "_na"), key)))
     place = F.xxhash64("id")
     left = held.join(sizes, key).select(

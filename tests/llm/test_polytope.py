@@ -60,6 +60,35 @@ def test_ties_go_to_the_smaller_id(spark, cloud, monkeypatch, block):
         assert near == copies
 
 
+def recall(spark, x):
+    rows = [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32))]
+    got = X.neighbours(table(spark, rows).repartition(3), every=50).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    y = np.array([v for _, v in rows])
+    hits = []
+    for q in range(0, len(y), 50):
+        score = y @ y[q]
+        score[q] = -np.inf
+        hits.append(len(found[q] & set(np.argsort(-score, kind="stable")[:20].tolist())) / 20)
+    return np.mean(hits)
+
+
+@pytest.mark.parametrize("times", [3, 10, 100])
+def test_one_long_vector_leaves_the_recall(spark, times):
+    x = np.random.default_rng(3).standard_normal((4000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[1234] *= times
+    assert recall(spark, x) >= 0.95
+
+
+def test_recall_on_the_given_table(spark):
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    x = np.array([r["embedding"] for r in given.orderBy("vec_id").collect()])
+    assert recall(spark, x) >= 0.95
+
+
 def test_few_vectors_give_all_candidates(spark):
     rows = [(i, [float(i % 3 - 1), 1.0, float(i)]) for i in range(1, 13)] + [(20, [-1.0, -1.0, -1.0])]
     got = {}
