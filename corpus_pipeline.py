@@ -1,8 +1,8 @@
 """From raw documents to training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns
-the columns of ``documents``; the last returns pieces of sequences. ``docs`` is a table
-read from files, so that a row's number tells it from rows with the same or no id.
+the columns of ``documents``; the last returns pieces of sequences. Rows with the same or no
+id are told apart by a number that a stage writes beside them before it reads them again.
 """
 
 from __future__ import annotations
@@ -21,15 +21,17 @@ from roadstream.plans import fits_broadcast
 
 
 def _with_number(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_row", F.monotonically_increasing_id())
+    """``docs`` written once with the number ``_row``. Spark plans the splits of files anew for
+    each scan, so that a number that is made while reading would name other rows the next time."""
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()))
 
 
-def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``docs`` but for the row numbers in ``rows``; texts are shuffled only if these are
-    too many to be sent to every task."""
+def _without(numbered: DataFrame, rows: DataFrame) -> DataFrame:
+    """The written rows ``numbered`` but for the numbers in ``rows``; texts are shuffled only
+    if these are too many to be sent to every task."""
     gone = written(rows.select("_row").distinct())
     gone = F.broadcast(gone) if fits_broadcast(gone) else gone
-    return _with_number(docs).join(gone, "_row", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return numbered.join(gone, "_row", "left_anti").drop("_row")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,15 +44,16 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of documents that are alike (five-word shingles, similarity 0.8) the one with the
     smallest id stays, of repeated rows the first, one without an id only if none has one."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("_row").alias("row"))
-    rows = _with_number(docs).select(order.alias("place"), "text")
+    docs = _with_number(docs)
+    rows = docs.select(order.alias("place"), "text")
     found = near_duplicates(rows, "place", size=5, percent=80)
     return _without(docs, found.where("not kept").select(F.col("id.row").alias("_row")))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a benchmark item stands go."""
-    rows = _with_number(docs).select("_row", "text")
-    found = leaks(rows, table(spark, sf_dir, "benchmark"), "_row")
+    docs = _with_number(docs)
+    found = leaks(docs.select("_row", "text"), table(spark, sf_dir, "benchmark"), "_row")
     return _without(docs, found.select(F.col("id").alias("_row")))
 
 

@@ -48,6 +48,26 @@ def test_each_stage_decides(spark, corpus):
     assert SECRET not in text["text"] and "[SECRET]" in text["text"] and text["n_chars"] == len(text["text"])
 
 
+@pytest.mark.parametrize("stage, gone", [(C.near_dedup_stage, {300, 301}), (C.decontamination_stage, {400})])
+def test_rows_go_by_a_number_that_new_splits_leave(spark, corpus, monkeypatch, stage, gone):
+    """Between the operator and the removal of its rows the files are split otherwise."""
+    rows, folder = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id is not null")
+    size, without = "spark.sql.files.maxPartitionBytes", C._without
+    before = spark.conf.get(size)
+
+    def split_anew(*args):
+        spark.conf.set(size, "2000")
+        return C.written(without(*args))
+
+    monkeypatch.setattr(C, "_without", split_anew)
+    try:
+        kept = {r[0] for r in stage(spark, docs, folder).select("doc_id").collect()}
+    finally:
+        spark.conf.set(size, before)
+    assert {r[0] for r in rows if r[0] is not None} - kept - {600, 601} == gone
+
+
 def test_run_packs_what_is_kept(spark, corpus):
     rows, folder = corpus
     tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
