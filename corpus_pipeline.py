@@ -58,7 +58,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; live secrets are replaced in their texts."""
+    """All documents stay; secrets but for examples are replaced in their texts."""
     clean = redact(scan(docs, keep_rows=True))
     if "n_chars" not in docs.columns:
         return clean

@@ -2,7 +2,8 @@
 
 Candidates are matched in every text; their values are hashed, and the hashes are counted
 by distinct repository and owner. A value that many owners show is an example that has
-been copied around; one that few show, and that looks random, may be live.
+been copied around, and so is one that says so; one that few show, and that looks random,
+may be live. All but examples are redacted.
 """
 
 from __future__ import annotations
@@ -34,6 +35,11 @@ _LONG_HEX = re.compile("[0-9a-f]{24}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: Bits a character from which an opaque value, or a live one, looks random.
 RANDOM_BITS = 3.0
+#: Seven characters have less than 3 bits each at most: of a short value this share of what
+#: its length can reach is enough.
+RANDOM_SHARE = 0.85
+#: Words and runs of six letters or more, which random values hardly hold.
+PLACEHOLDER = re.compile("example|sample|placeholder|change_?me|redacted|x{6}", re.I)
 OPAQUE_BITS = 3.5
 
 
@@ -42,6 +48,10 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values())
 
 
+def looks_random(value: str) -> bool:
+    return entropy(value) >= min(RANDOM_BITS, RANDOM_SHARE * math.log2(max(len(value), 2)))
+
+
 def spans(text: str | None) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, value) of the candidates, by start, then kind."""
     if not text:
@@ -83,13 +93,16 @@ def listed(found: list[tuple[int, int, str, str]]) -> str:
 
 def candidates(rows: DataFrame) -> DataFrame:
     """``rows`` (id, text, and columns that are passed on) without the text, with ``spans``,
-    an array of (start, end, kind, value_hash, random)."""
+    an array of (start, end, kind, value_hash, random, placeholder)."""
     carried = [f for f in rows.schema.fields if f.name != "text"]
-    item = "start: int, end: int, kind: string, value_hash: binary, random: boolean"
+    item = "start: int, end: int, kind: string, value_hash: binary, random: boolean, placeholder: boolean"
     schema = StructType([*carried, *StructType.fromDDL(f"spans array<struct<{item}>>")])
     kind = pa.list_(
         pa.struct(
-            [("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("value_hash", pa.binary()), ("random", pa.bool_())]
+            [
+                ("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("value_hash", pa.binary()),
+                ("random", pa.bool_()), ("placeholder", pa.bool_()),
+            ]
         )
     )
 
@@ -104,7 +117,8 @@ def candidates(rows: DataFrame) -> DataFrame:
                         "end": e,
                         "kind": k,
                         "value_hash": blake2b(v.encode("utf-8", "surrogatepass"), digest_size=16).digest(),
-                        "random": entropy(v) >= RANDOM_BITS,
+                        "random": looks_random(v),
+                        "placeholder": PLACEHOLDER.search(v) is not None,
                     }
                     for s, e, k, v in spans(text)
                 ]
@@ -143,7 +157,7 @@ def scan(
     repository_col: str = "source",
     owner_col: str = "source",
     live_owners: int = 1,
-    example_owners: int = 3,
+    example_owners: int = 10,
     keep_rows: bool = False,
 ) -> DataFrame:
     """Per row of ``docs``: ``id``, ``repository``, ``owner`` and ``spans``, an array by
@@ -151,8 +165,8 @@ def scan(
     ``keep_rows`` also the row itself as the struct ``row``.
 
     Offsets are code points, the end exclusive. ``verdict`` is "example" for a value that
-    ``example_owners`` owners or more show, "live" for one that looks random and that at
-    most ``live_owners`` show, else "unclear". Kinds are ``assign``, ``access``, ``hex``,
+    ``example_owners`` owners or more show or that has the form of a placeholder, "live" for
+    one that looks random for its length and that at most ``live_owners`` show, else "unclear". Kinds are ``assign``, ``access``, ``hex``,
     and, outside these, ``opaque``: 20 characters or more of mixed case and digits with
     high entropy.
 
@@ -175,7 +189,7 @@ def scan(
     owners = written(ownership(have))
     each = have.select("_no", F.explode("spans").alias("s")).withColumn("value_hash", F.col("s.value_hash"))
     verdict = (
-        F.when(F.col("owners") >= example_owners, "example")
+        F.when((F.col("owners") >= example_owners) | F.col("s.placeholder"), "example")
         .when((F.col("owners") <= live_owners) & F.col("s.random"), "live")
         .otherwise("unclear")
     )
@@ -221,9 +235,10 @@ def redacted(text: str, at: list[tuple[int, int]], mark: str = "[SECRET]") -> st
 
 
 def redact(scanned: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of a ``scan`` with ``keep_rows``, the live secrets of their texts replaced."""
-    live = F.filter("spans", lambda s: s["verdict"] == "live")
-    rows = scanned.select("row", F.transform(live, lambda s: F.struct(s["start"], s["end"])).alias("_at"))
+    """The rows of a ``scan`` with ``keep_rows``; what is not an example is replaced in
+    their texts: a key that two owners show is no less a key."""
+    hidden = F.filter("spans", lambda s: s["verdict"] != "example")
+    rows = scanned.select("row", F.transform(hidden, lambda s: F.struct(s["start"], s["end"])).alias("_at"))
 
     @F.udf("string", useArrow=True)
     def replaced(text, at):
