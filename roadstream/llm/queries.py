@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadstream.llm import bpe, periodic, repair
 from roadstream.llm.common import table
 from roadstream.llm.crf import label_words
 from roadstream.llm.decontaminate import leaks
@@ -94,6 +95,42 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth document by the CRC of its id gets a periodic tail, as the contract says."""
+    name = F.col("doc_id").cast("string").cast("binary")
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    # Step by step, as each column is used several times in the next.
+    marked = docs.select("doc_id", "text", F.crc32(name).alias("_h")).select(
+        "doc_id", "text", F.floor(F.col("_h") / 10).alias("_g"), F.when(F.col("_h") % 10 == 0, words).alias("_words")
+    )
+    marked = marked.withColumn("_n", F.size("_words"))
+    marked = marked.withColumn("_at", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int"))
+    marked = marked.withColumn("_rest", F.col("_n") - F.col("_at"))
+    marked = marked.withColumn("_period", (1 + F.floor(F.col("_rest") / (3 + F.col("_g") % 8))).cast("int"))
+    times = F.ceil(F.col("_rest") / F.col("_period")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("_words", F.col("_at") + 1, F.col("_period")), times))
+    periodic_text = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_at")), F.slice(tail, F.lit(1), F.col("_rest"))), " ")
+    return marked.select("doc_id", F.when(F.col("_at").isNotNull(), periodic_text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of the words of every document, of which every tenth has a periodic tail."""
+    docs = _with_periodic_tails(table(spark, folder, "documents"))
+    return periodic.digests(periodic.periodic_runs(docs)).withColumnRenamed("id", "doc_id")
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation after its damage: faults, cheapest edits and the repaired turns."""
+    return repair.digests(table(spark, folder, "conversations"))
+
+
+def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as token ids of whole words and their ends, and decoded again."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    ids = bpe.encoded(table(spark, folder, "documents"), tokenizer)
+    return bpe.digests(bpe.decoded(ids, tokenizer)).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -106,6 +143,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_training_order": op8_training_order,
         "op9_benchmark_leaks": op9_benchmark_leaks,
         "op10_quality": op10_quality,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_bpe": op13_bpe,
     }
 
 
