@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_a_query_for_each_operator():
     names = {n.split("_")[0] for n in Q.queries()}
-    assert names == {f"op{i}" for i in range(1, 11)}
+    assert names == {f"op{i}" for i in range(1, 14)}
     assert {*Q.queries(), "pipeline"} <= set(contract.queries())
 
 
