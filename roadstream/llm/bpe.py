@@ -15,6 +15,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import chain, pairwise
 
 import numpy as np
@@ -22,14 +23,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 from tokenizers import Tokenizer
 
 from roadstream.llm.common import in_arrow
 from roadstream.llm.tokens import _byte_of_symbol
 
 #: Characters of text that are indexed together, and distinct chunks remembered between blocks.
-BLOCK_CHARS, REMEMBERED = 8 << 20, 400_000
+BLOCK_CHARS, REMEMBERED = 4 << 20, 300_000
 
 #: Unicode's white space, on which words never span.
 WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -37,7 +38,7 @@ _CONTROL = regex.compile(r"[\x1c-\x1f]")
 _CHUNK = regex.compile(WHITE.replace("[", "[^", 1) + "+")
 
 
-@dataclass(frozen=True)
+@dataclass
 class Vocabulary:
     """What a tokenizer file of words with word ends says. ``symbols`` and ``last`` hold the id
     of every byte within and at the end of a word, ``first`` the ranks of their pairs."""
@@ -53,8 +54,11 @@ class Vocabulary:
     tokens: list[str]
     added: dict[str, int]
     split: regex.Pattern | None
-    normaliser: object
-    splitter: object
+    path: str
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
 
 
 def _wanted(spec: dict) -> str | None:
@@ -87,15 +91,14 @@ def vocabulary(path: str) -> Vocabulary:
     wanted = _wanted(spec)
     if wanted:
         raise ValueError(f"{path}: expected {wanted}")
-    own = Tokenizer.from_file(path)
     model = spec["model"]
     ids, end = model["vocab"], model["end_of_word_suffix"]
     pairs = [m if isinstance(m, list) else m.split(" ", 1) for m in model["merges"]]
-    rules, to_right, to_left, made = [], {}, {}, {}
+    rules, to_right, to_left = [], {}, {}
+    made = {a + b: rank for rank, (a, b) in enumerate(pairs)}
     for rank, (a, b) in enumerate(pairs):
-        if max(made.get(a, -1), made.get(b, -1)) >= rank or a + b in made:
+        if max(made.get(a, -1), made.get(b, -1)) >= rank or made[a + b] != rank:
             raise ValueError(f"{path}: expected merges of what earlier merges made")
-        made[a + b] = rank
         left, right = ids[a], ids[b]
         rules.append((left, right, ids[a + b]))
         to_right.setdefault(left, {})[right] = to_left.setdefault(right, {})[left] = rank
@@ -118,10 +121,9 @@ def vocabulary(path: str) -> Vocabulary:
         rules=rules,
         to_right=to_right,
         to_left=to_left,
-        tokens=[tokens.get(i) for i in range(max(tokens) + 1)],
+        tokens=[tokens.get(i, "") for i in range(max(tokens) + 1)],
         added=added,
-        normaliser=own.normalizer,
-        splitter=own.pre_tokenizer.__getitem__(0),
+        path=path,
         split=regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None,
     )
 
@@ -231,7 +233,8 @@ class Encoder:
             if piece in vocab.added:
                 out.append(piece)
             elif piece:
-                out += vocab.splitter.pre_tokenize_str(vocab.normaliser.normalize_str(piece))
+                normal = vocab.library.normalizer.normalize_str(piece)
+                out += vocab.library.pre_tokenizer[0].pre_tokenize_str(normal)
         return [p if isinstance(p, str) else p[0] for p in out]
 
 
@@ -291,30 +294,9 @@ def decoded(rows: DataFrame, tokenizer: str, ids_col: str = "ids", name: str = "
 
     As the file names no decoder, tokens are joined by blanks, special ones included; ids
     beyond the vocabulary and null ones are left out, and null ids give a null text."""
-    vocabulary(tokenizer)
-    schema = StructType([f for f in rows.schema if f.name != name]).add(name, StringType())
-
-    def work(batches: Iterator[dict]) -> Iterator[dict]:
-        tokens = pa.array(vocabulary(tokenizer).tokens)
-        for batch in batches:
-            yield batch | {name: _joined(batch[ids_col], tokens)}
-
-    return in_arrow(rows, schema, work)
-
-
-def _joined(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
-    import pyarrow.compute as pc
-
-    flat = ids.flatten()
-    inside = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
-    names = tokens.take(pc.if_else(inside, flat, None))
-    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-    ends = pa.array([0, *lengths.cumsum()], pa.int32())
-    present = pa.ListArray.from_arrays(ends, names)
-    if names.null_count:
-        present = pa.array([[t for t in row if t is not None] for row in present.to_pylist()], pa.list_(pa.string()))
-    text = pc.binary_join(present, " ")
-    return pc.if_else(ids.is_valid(), text, None)
+    # Tokens hold no white space: one literal, which is split once while the plan is made.
+    tokens = F.split(F.lit("\t".join(vocabulary(tokenizer).tokens)), "\t")
+    return rows.withColumn(name, F.array_join(F.transform(ids_col, lambda i: F.get(tokens, i)), " "))
 
 
 def digests(rows: DataFrame) -> DataFrame:
