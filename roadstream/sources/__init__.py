@@ -1,5 +1,6 @@
 """Where lines and dimension tables come from."""
 
+from roadstream.sources.appended import follow_log_lines
 from roadstream.sources.lines import read_kafka_lines, read_log_lines, read_socket_lines
 from roadstream.sources.tables import (
     jdbc_table,
@@ -10,6 +11,7 @@ from roadstream.sources.tables import (
 )
 
 __all__ = [
+    "follow_log_lines",
     "jdbc_table",
     "monitors_snapshot",
     "read_kafka_lines",
