@@ -11,7 +11,9 @@ gathers a car's history:
 2. A block that begins within the gap of an earlier passage is open: its anchors depend
    on the anchor before it. Such a block is summarised as a step function from the time
    of that anchor to the time of the block's last anchor.
-3. The step functions of consecutive open blocks are chained, one small row per block.
+3. The step functions of neighbouring blocks are composed in groups, those of the groups in
+   larger ones, and so on until no group depends on the one before it. Anchors are then
+   handed down the same levels, so that no row or task holds more than one group.
 4. With its incoming anchor known each block lists its anchors. Anchors of a car lie at
    least a gap apart, so a passage finds its own by an equality join on gap-wide bins.
 """
@@ -20,11 +22,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadstream.constants import REPEAT_GAP_MS, REPEAT_MESSAGE
-from roadstream.functions.anchors import STEPS, chain_udf, steps_udf
+from roadstream.functions.anchors import compose_udf, entering_udf, steps_udf
 from roadstream.functions.timing import floor_div, local_day
 from roadstream.plans import cut_lineage, fold_copies, in_blocks, unfold_copies
 
 _GAPS_PER_BLOCK = 64
+#: Neighbouring blocks, or groups of them, whose step functions meet in one row.
+FAN_OUT = 32
 
 
 def _anchors_in(points: Column, incoming: Column, gap_ms: int) -> Column:
@@ -89,81 +93,57 @@ def _crowded(passages: DataFrame, gap_ms: int) -> DataFrame:
     )
 
 
-def _anchors(crowded: DataFrame, gap_ms: int) -> DataFrame:
-    """Time and camera of every anchor among the crowded passages."""
+def _blocks(crowded: DataFrame, gap_ms: int) -> DataFrame:
+    """Per car and block its points and its step function; ``open`` if this depends on the
+    anchor that enters the block."""
     blocks = (
         crowded.where("_first")
         .groupBy("car", "_block")
         .agg(
-            F.array_sort(F.collect_list(F.struct("action_time", "camera_id"))).alias(
-                "_points"
-            ),
+            F.array_sort(F.collect_list(F.struct("action_time", "camera_id"))).alias("_points"),
             # The block is open unless its earliest passage opens.
             (~F.min_by("_opens", "action_time")).alias("_open"),
         )
     )
-    # Consecutive open blocks form a run with the closed block before them.
-    history = Window.partitionBy("car").orderBy("_block")
-    run = F.sum((~F.col("_open")).cast("bigint")).over(
-        history.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    follows = F.coalesce(F.lead("_open").over(history), F.lit(False))
-    chained = (
-        blocks.withColumn("_run", run)
-        .withColumn("_follows", follows)
-        .where(F.col("_open") | F.col("_follows"))
-    )
-    none = F.lit(None).cast("bigint")
-    leaving = F.element_at(_anchors_in(F.col("_points"), none, gap_ms), -1)
-    steps = chained.where("_open").withColumn(
-        "_steps", steps_udf(gap_ms)("_points.action_time")
-    )
-    summaries = (
-        chained.where(~F.col("_open"))
-        .select(
-            "car",
-            "_run",
-            "_block",
-            leaving["action_time"].alias("_leaving"),
-            F.lit(None).cast(STEPS).alias("_steps"),
-        )
-        .unionByName(
-            steps.select(
-                "car",
-                "_run",
-                "_block",
-                none.alias("_leaving"),
-                "_steps",
-            )
-        )
-    )
-    runs = summaries.groupBy("car", "_run").agg(
-        F.max("_leaving").alias("_leaving"),
-        F.array_sort(
-            F.collect_list(
-                F.when(
-                    F.col("_steps").isNotNull(),
-                    F.struct("_block", "_steps.upto", "_steps.last"),
-                )
-            )
-        ).alias("_steps"),
-    )
-    chain = runs.select(
-        "car",
-        F.col("_steps._block").alias("_blocks"),
-        chain_udf(gap_ms)("_leaving", "_steps.upto", "_steps.last").alias("_chain"),
+    return blocks.withColumn("_steps", steps_udf(gap_ms)("_points.action_time", "_open"))
+
+
+def _grouped(level: DataFrame, gap_ms: int, fan_out: int) -> DataFrame:
+    """A level further up: groups of up to ``fan_out`` neighbouring blocks, or groups."""
+    members = F.array_sort(F.collect_list(F.struct("_block", "_open", "_steps.upto", "_steps.last")))
+    groups = (
+        level.groupBy("car", floor_div(F.col("_block"), fan_out).alias("_group"))
+        .agg(members.alias("_members"))
+        .withColumnRenamed("_group", "_block")
+        .withColumn("_open", F.get("_members", F.lit(0))["_open"])
     )
-    incoming = chain.select(
-        "car",
-        F.explode(
-            F.transform(
-                "_chain",
-                lambda anchor, i: F.struct(
-                    F.get("_blocks", i).alias("_block"), anchor.alias("_incoming")
-                ),
-            )
-        ).alias("_entry"),
-    ).select("car", "_entry._block", "_entry._incoming")
+    return groups.withColumn("_steps", compose_udf(gap_ms)("_members.upto", "_members.last"))
+
+
+def _entering(blocks: DataFrame, gap_ms: int, fan_out: int) -> DataFrame:
+    """The anchor that enters each block: car, _block, _incoming.
+
+    Open blocks follow their predecessor in number. Step functions are composed upward, level
+    by level, until no group depends on the one before it; anchors are then handed down."""
+    levels, level = [], blocks.drop("_points")
+    while True:
+        level = cut_lineage(_grouped(level, gap_ms, fan_out))
+        levels.append(level)
+        if not level.where("_open").limit(1).count():
+            break
+    incoming = None
+    for level in reversed(levels):
+        groups = level.withColumn("_incoming", F.lit(None).cast("bigint")) if incoming is None else level.join(incoming, ["car", "_block"], "left")
+        entered = entering_udf(gap_ms)("_incoming", "_members.upto", "_members.last")
+        each = groups.select("car", F.explode(F.arrays_zip("_members._block", entered.alias("_incoming"))).alias("_m"))
+        incoming = each.select("car", F.col("_m._block").alias("_block"), F.col("_m._incoming").alias("_incoming"))
+    return incoming
+
+
+def _anchors(crowded: DataFrame, gap_ms: int, fan_out: int = FAN_OUT) -> DataFrame:
+    """Time and camera of every anchor among the crowded passages."""
+    blocks = cut_lineage(_blocks(crowded, gap_ms))
+    incoming = _entering(blocks, gap_ms, fan_out)
     found = _anchors_in(F.col("_points"), F.col("_incoming"), gap_ms)
     return (
         blocks.join(incoming, ["car", "_block"], "left")
