@@ -1,7 +1,6 @@
 """The array helpers behind the cloned-plate operator, on the times of one block."""
 
 import sys
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,6 +10,9 @@ from pyspark.sql import functions as F
 # The functions travel to the executors with the plan; the package need not be there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Above every sum of a time and a gap.
+EVERY = 2**62
+
 STEPS = "struct<upto array<bigint>, last array<bigint>>"
 
 
@@ -36,46 +38,77 @@ def anchor_steps(times: np.ndarray, gap_ms: int) -> tuple[np.ndarray, np.ndarray
     return upto[ends], result[ends]
 
 
+def leave(upto: np.ndarray, last: np.ndarray, anchor: int, gap_ms: int) -> int:
+    """The anchor that leaves a stretch of blocks which ``anchor`` enters."""
+    at = int(np.searchsorted(upto, anchor + gap_ms))
+    return int(last[at]) if at < len(upto) else anchor
+
+
+def compose(
+    first: tuple[np.ndarray, np.ndarray], then: tuple[np.ndarray, np.ndarray], gap_ms: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The step function of two neighbouring stretches. An anchor that passes through the first
+    one unchanged meets the steps of the second."""
+    (upto, last), (upto2, last2) = first, then
+    at = np.searchsorted(upto2, last + gap_ms)
+    mapped = np.where(at < len(upto2), last2[np.minimum(at, len(upto2) - 1)], last)
+    through = upto2 > upto[-1]
+    upto, mapped = np.append(upto, upto2[through]), np.append(mapped, last2[through])
+    ends = np.append(mapped[1:] != mapped[:-1], True)
+    return upto[ends], mapped[ends]
+
+
 def steps_udf(gap_ms: int):
     @F.pandas_udf(STEPS)
-    def steps(times: pd.Series) -> pd.DataFrame:
-        pairs = [anchor_steps(np.asarray(t, dtype=np.int64), gap_ms) for t in times]
-        return pd.DataFrame(
-            {"upto": [u for u, _ in pairs], "last": [v for _, v in pairs]}
-        )
+    def steps(times: pd.Series, is_open: pd.Series) -> pd.DataFrame:
+        pairs = []
+        for t, depends in zip(times, is_open):
+            times_ = np.asarray(t, dtype=np.int64)
+            upto, last = anchor_steps(times_, gap_ms)
+            # A closed block leaves the same anchor whatever enters it.
+            pairs.append((upto, last) if depends else (np.array([EVERY]), last[:1]))
+        return pd.DataFrame({"upto": [u for u, _ in pairs], "last": [v for _, v in pairs]})
 
     return steps
 
 
-def chain_anchors(run, gap_ms: int) -> list[int]:
-    """Incoming anchor of each open block of a run, whose blocks come in order.
+def _functions(uptos, lasts) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [(np.asarray(u, np.int64), np.asarray(v, np.int64)) for u, v in zip(uptos, lasts)]
 
-    ``run`` begins with the anchor that leaves the closed block before it.
-    """
-    anchor, *steps = run
-    incoming = []
-    for upto, last in steps:
-        incoming.append(anchor)
-        at = int(np.searchsorted(upto, anchor + gap_ms))
-        if at < len(upto):
-            anchor = int(last[at])
-    return incoming
 
+def compose_udf(gap_ms: int):
+    """The step function of a group of neighbours, given in order."""
+
+    @F.pandas_udf(STEPS)
+    def composed(uptos: pd.Series, lasts: pd.Series) -> pd.DataFrame:
+        out = []
+        for u, v in zip(uptos, lasts):
+            functions = _functions(u, v)
+            whole = functions[0]
+            for following in functions[1:]:
+                whole = compose(whole, following, gap_ms)
+            out.append(whole)
+        return pd.DataFrame({"upto": [u for u, _ in out], "last": [v for _, v in out]})
+
+    return composed
+
+
+def entering_udf(gap_ms: int):
+    """The anchor that enters each member of a group, from the one that enters the group."""
 
-def chain_udf(gap_ms: int):
     @F.pandas_udf("array<bigint>")
-    def chain(
-        parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]],
-    ) -> Iterator[pd.Series]:
-        for anchors, uptos, lasts in parts:
-            yield pd.Series(
-                [
-                    chain_anchors([a, *zip(u, v)], gap_ms)
-                    for a, u, v in zip(anchors, uptos, lasts)
-                ]
-            )
+    def entering(anchors: pd.Series, uptos: pd.Series, lasts: pd.Series) -> pd.Series:
+        out = []
+        for anchor, u, v in zip(anchors, uptos, lasts):
+            # Without one: so early that it matters to no passage.
+            anchor, entered = -EVERY if pd.isna(anchor) else int(anchor), []
+            for upto, last in _functions(u, v):
+                entered.append(anchor)
+                anchor = leave(upto, last, anchor, gap_ms)
+            out.append(entered)
+        return pd.Series(out)
 
-    return chain
+    return entering
 
 
 def fold_anchor(
@@ -102,38 +135,3 @@ def fold_anchor(
             i += 1
     none = np.empty(0, dtype=np.int64)
     return np.concatenate([none, *hits]), np.concatenate([none, *owners]), at
-
-
-def repeat_state_function(gap_ms: int, message: str):
-    """One micro-batch of a car's passages against its stored anchor."""
-
-    def warn(key, frames, state):
-        if state.hasTimedOut:
-            # Passages still to come are at least a gap away from the anchor.
-            state.remove()
-            return
-        rows = pd.concat(list(frames), ignore_index=True)
-        rows = rows.sort_values(["action_time", "camera_id"], ignore_index=True)
-        times = rows["action_time"].to_numpy(dtype=np.int64)
-        # One place more, for the stored anchor at position -1.
-        cameras = np.append(rows["camera_id"].to_numpy(dtype=object), None)
-        anchor = None
-        if state.exists:
-            anchor, cameras[-1] = state.get
-        anchors = np.append(times, anchor or 0)
-        hits, owners, at = fold_anchor(times, anchor, gap_ms)
-        state.update((int(anchors[at]), cameras[at]))
-        expiry = int(anchors[at]) + gap_ms
-        state.setTimeoutTimestamp(max(expiry, state.getCurrentWatermarkMs() + 1))
-        later = times[hits] > anchors[owners]
-        yield pd.DataFrame(
-            {
-                "car": key[0],
-                "first_camera_id": np.where(later, cameras[owners], cameras[hits]),
-                "second_camera_id": np.where(later, cameras[hits], cameras[owners]),
-                "msg": message,
-                "create_time": times[hits],
-            }
-        )
-
-    return warn

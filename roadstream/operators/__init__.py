@@ -13,6 +13,7 @@ from roadstream.operators.enrich import (
 )
 from roadstream.operators.matching import police_interval_join, police_match
 from roadstream.operators.parse import (
+    classified,
     parse_passages,
     parse_police_actions,
     parse_violations,

@@ -78,6 +78,19 @@ def parse_violations(lines: DataFrame, strict: bool = False) -> DataFrame:
     return _parse(lines, schemas.VIOLATION, strict)
 
 
+def classified(lines: DataFrame, schema: T.StructType = schemas.PASSAGE) -> DataFrame:
+    """Every line with its ``kind``, ``ok`` or the reason of its rejection, and the fields of
+    ``schema``, which are null unless it is ok: good and bad lines of one pass."""
+    examined = _examined(lines, schema)
+    ok = F.col("reason").isNull()
+    fields = [F.when(ok, F.col(c)).alias(c) for c in schema.fieldNames()]
+    return examined.select("value", F.coalesce("reason", F.lit("ok")).alias("kind"), *fields)
+
+
+#: What ``classified`` tells apart.
+KINDS = ("ok", "empty", "short", "bad_number")
+
+
 def quality_split(
     lines: DataFrame, schema: T.StructType = schemas.PASSAGE
 ) -> tuple[DataFrame, DataFrame]:

@@ -8,20 +8,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from roadstream import constants as C
+from roadstream import schemas
 from roadstream.operators import (
     area_vehicle_count_running,
     average_speed,
     average_speed_2dp,
+    classified,
     overspeed,
     police_match,
     rank_congested,
     track_rows,
     watchlist_passages,
 )
+from roadstream.operators.parse import KINDS
+from roadstream.streaming.counts import counts_sink, first_seen
 from roadstream.streaming.repeats import repeat_plate_stream
-from roadstream.streaming.sinks import Sink, insert_if_absent, start
+from roadstream.streaming.sinks import Sink, insert_if_absent, split_by_kind, start
 
 Load = Callable[[], DataFrame]
 
@@ -41,6 +46,18 @@ def overspeed_job(
     return start(passages, work, checkpoint, **trigger)
 
 
+def quality_job(
+    lines: DataFrame,
+    path: str,
+    checkpoint: str,
+    schema: StructType = schemas.PASSAGE,
+    report: Callable[[int, dict[str, int]], None] | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Good lines and rejected ones by reason, each kind in a table of its own, from one parse."""
+    return start(classified(lines, schema), split_by_kind(path, KINDS, report), checkpoint, **trigger)
+
+
 def track_job(
     passages: DataFrame, violation_list: Load, sink: Sink, checkpoint: str, **trigger
 ) -> StreamingQuery:
@@ -94,6 +111,19 @@ def area_count_job(
     return start(counts, sink, checkpoint, mode="update", **trigger)
 
 
+def running_count_job(
+    passages: DataFrame,
+    path: str,
+    state: str,
+    checkpoint: str,
+    size_ms: int = C.AREA_WINDOW_MS,
+    **trigger,
+) -> StreamingQuery:
+    """A running vehicle count for every passage, stored at ``path`` once the watermark has
+    passed it; ``state`` holds the counts between batches."""
+    return start(first_seen(passages, size_ms), counts_sink(path, state, size_ms), checkpoint, **trigger)
+
+
 def repeat_plate_job(
     passages: DataFrame,
     path: str,

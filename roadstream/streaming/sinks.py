@@ -8,7 +8,7 @@ that starts over with a new checkpoint needs a new table.
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -16,21 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 from roadstream import schemas
 from roadstream.functions.timing import local_day
 from roadstream.operators.repeats import repeat_plate_daily
-from roadstream.plans import shared_folder
+from roadstream.plans import files, shared_folder
 
 Sink = Callable[[DataFrame, int], None]
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None before its first batch."""
-    try:
-        return spark.read.option("mergeSchema", "false").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def as_table(frame: DataFrame, schema: T.StructType, **sources: str) -> DataFrame:
     """``frame`` with the columns and types of a table that is written.
 
@@ -94,6 +84,35 @@ def read_appended(
         return spark.createDataFrame([], schema)
 
 
+def split_by_kind(
+    path: str, kinds: tuple[str, ...], report: Callable[[int, dict[str, int]], None] | None = None
+) -> Sink:
+    """Append every batch to one table for each ``kind``, in one pass over the batch.
+
+    The kinds are folders of the batch's own folder. They are counted while they are written;
+    ``report`` gets the batch's number and the rows of every kind in ``kinds``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counted = Observation()
+        counts = [F.count_if(F.col("kind") == k).alias(k) for k in kinds]
+        (
+            batch.observe(counted, *counts)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("kind")
+            .parquet(f"{path}/batch_id={batch_id}")
+        )
+        if report is not None:
+            report(batch_id, counted.get)
+
+    return write
+
+
+def read_kind(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The rows of one kind; the folders of the others are not read."""
+    return spark.read.parquet(path).where(F.col("kind") == kind).drop("kind", "batch_id")
+
+
 def append_jdbc(url: str, table: str, properties: dict | None = None) -> Sink:
     """Append every batch to a database table, written by all tasks in parallel.
 
@@ -113,17 +132,16 @@ def insert_if_absent(path: str, zone: str = "UTC") -> Sink:
         spark = batch.sparkSession
         fresh = repeat_plate_daily(batch, zone).persist()
         try:
-            days = fresh.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
-            stored = _stored(spark, path)
-            if stored is not None and days["lo"] is not None:
-                # Days are folders, so only the batch's own days are read.
-                known = stored.where(
-                    F.col("day").between(days["lo"], days["hi"])
-                    & (F.col("batch_id") < batch_id)
-                ).select("car", "day")
+            # Days are folders: the batch's own are listed and read, however many there are.
+            days = [r["day"] for r in fresh.select("day").distinct().collect()]
+            folders = [f"{path}/day={day}" for day in days if day is not None]
+            stored = [f for f in folders if files.exists(spark, f)]
+            absent = fresh
+            if stored:
+                schema = T.StructType([*fresh.schema.fields, T.StructField("batch_id", T.IntegerType())])
+                table = spark.read.schema(schema).option("basePath", path).parquet(*stored)
+                known = table.where(F.col("batch_id") < batch_id).select("car", "day")
                 absent = fresh.join(known, ["car", "day"], "left_anti")
-            else:
-                absent = fresh
             (
                 absent.withColumn("batch_id", F.lit(batch_id))
                 .write.mode("overwrite")

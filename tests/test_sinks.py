@@ -169,3 +169,48 @@ def test_console_takes_the_rows(spark):
     query.stop()
     assert "Console" in query.lastProgress["sink"]["description"]
     assert seen == testmap.passages(spark, SMALL).count()
+
+
+def test_kinds_are_tables_written_in_one_pass(spark, rows, tmp_path):
+    from roadstream.operators import classified, quality_split
+    from roadstream.operators.parse import KINDS
+    from pyspark.sql import functions as F
+
+    path, counts = str(tmp_path / "t"), {}
+    lines = spark.createDataFrame(
+        [("1,m,c,car,2.5,r,a",), ("1,m",), ("",), (None,), ("x,m,c,car,2.5,r,a",), ("2,m,c,car,9,r,a,more",)], "value string"
+    )
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(frames):
+        for frame in frames:
+            read.add(len(frame))
+            yield frame
+
+    write = sinks.split_by_kind(path, KINDS, lambda batch, found: counts.update({batch: found}))
+    for _ in range(2):
+        read.value = 0
+        write(classified(lines.mapInPandas(seen, "value string")), 0)
+        assert read.value == 6  # one scan writes all tables and counts them
+    assert counts == {0: {"ok": 2, "empty": 2, "short": 1, "bad_number": 1}}
+    good, rejects = quality_split(lines)
+    assert rows(sinks.read_kind(spark, path, "ok").select(*good.columns)) == rows(good)
+    for kind in KINDS[1:]:
+        assert sinks.read_kind(spark, path, kind).count() == counts[0][kind]
+        assert rows(sinks.read_kind(spark, path, kind).select("value")) == rows(rejects.where(F.col("reason") == kind).select("value"))
+
+
+def test_insert_if_absent_lists_its_own_days(spark, rows, tmp_path):
+    """Files of other days are not opened: here they could not be read."""
+    path = str(tmp_path / "t")
+    write = sinks.insert_if_absent(path)
+
+    def warnings(*values):
+        return spark.createDataFrame([(c, "1", "2", "m", t) for c, t in values], WARNING)
+
+    write(warnings(("a", 5)), 0)
+    write(warnings(("a", DAY), ("b", DAY)), 1)
+    for file in (tmp_path / "t" / "day=1970-01-01").rglob("*.parquet"):
+        file.write_bytes(b"broken")
+    write(warnings(("a", DAY + 1), ("c", DAY + 2)), 2)
+    assert rows(spark.read.parquet(f"{path}/day=1970-01-02").select("car")) == [("a",), ("b",), ("c",)]
