@@ -7,8 +7,10 @@ The events are sparse, so the queries use wider windows than the library's defau
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +18,9 @@ from pyspark.sql import functions as F
 from roadstream import operators as ops
 from roadstream import testmap
 from roadstream.plans import working_folder
-from roadstream.sources import read_log_lines, tables
+from roadstream.sources import follow_log_lines, read_log_lines, tables
 from roadstream.streaming import jobs, sinks
+from roadstream.streaming.patterns import dangerous_driving_stream
 from roadstream.streaming.repeats import repeat_plate_stream
 
 HOUR = 3_600_000
@@ -100,6 +103,53 @@ def _from_logs(spark: SparkSession, sf: str) -> DataFrame:
     return ops.parse_passages(read_log_lines(spark, folder, "*.txt", streaming=False))
 
 
+def _grow(spark: SparkSession, source: str, logs: str, begin: float, end: float) -> None:
+    """Append a share of the bytes of each text file in ``source`` to a log of its name. Tasks
+    copy; one that runs again writes the same bytes to the same place."""
+
+    def local(path: str) -> str:
+        return unquote(urlparse(path).path) if "://" in path or path.startswith("file:") else path
+
+    def copy(frames):
+        for frame in frames:
+            for path, size in zip(frame["path"], frame["length"]):
+                name = os.path.basename(path).removesuffix(".txt") + ".log"
+                os.makedirs(local(logs), exist_ok=True)
+                target = os.open(os.path.join(local(logs), name), os.O_CREAT | os.O_WRONLY)
+                with open(local(path), "rb") as lines, os.fdopen(target, "wb") as log:
+                    at, stop = int(size * begin), int(size * end)
+                    lines.seek(at)
+                    log.seek(at)
+                    log.truncate()
+                    while at < stop and (block := lines.read(min(1 << 20, stop - at))):
+                        log.write(block)
+                        at += len(block)
+            yield frame[["length"]]
+
+    files = spark.read.format("binaryFile").load(source).select("path", "length")
+    files.mapInPandas(copy, "length long").count()
+
+
+def _followed_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages from logs that grow between two runs of a stream, in the midst of a line."""
+    folder = _own_folder(spark)
+    _lines(spark, sf).write.text(f"{folder}/lines")
+    for begin, end in ((0.0, 0.4), (0.4, 1.0)):
+        _grow(spark, f"{folder}/lines", f"{folder}/logs", begin, end)
+        passages = ops.parse_passages(follow_log_lines(spark, f"{folder}/logs", "*.log"))
+        sink = sinks.append_table(f"{folder}/table")
+        _finished(sinks.start(passages, sink, f"{folder}/checkpoint", available_now=True))
+    return sinks.read_appended(spark, f"{folder}/table")
+
+
+def _counts_per_passage(spark: SparkSession, sf: str) -> DataFrame:
+    folder = _own_folder(spark)
+    run = {"checkpoint": f"{folder}/checkpoint", "available_now": True}
+    passages = testmap.passages_stream(spark, sf)
+    _finished(jobs.running_count_job(passages, f"{folder}/table", f"{folder}/counts", size_ms=DAY, **run))
+    return sinks.read_appended(spark, f"{folder}/table")
+
+
 def _estimates(spark: SparkSession, sf: str) -> DataFrame:
     """Exact counts, and whether the approximate ones lie within five standard errors."""
     passages, rsd = testmap.passages(spark, sf), 0.02
@@ -218,6 +268,12 @@ def _stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 span_ms=DAY,
             )
         ),
+        "dangerous_driving_stream": lambda s, d: _stream_into_table(
+            dangerous_driving_stream(
+                testmap.passages_stream(s, d), testmap.monitors(s, d), span_ms=DAY
+            )
+        ),
+        "area_vehicle_count_passages_stream": _counts_per_passage,
         "repeat_plate_stream": lambda s, d: _stream_into_table(
             repeat_plate_stream(testmap.passages_stream(s, d), gap_ms=GAP)
         ),
@@ -255,6 +311,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "parse_passages": lambda s, d: ops.parse_passages(_lines(s, d)),
         "read_log_lines": _from_logs,
+        "follow_log_lines": _followed_logs,
         "parse_police_actions": lambda s, d: ops.parse_police_actions(
             _action_lines(s, d)
         ),
@@ -369,6 +426,22 @@ repeats as (
 """
 
 
+_SEVERE_IN_ORDER = """q as (select *, row_number() over (partition by car order by action_time,
+                 monitor_id, road_id, real_speed, limit_speed) rn from severe)"""
+
+_RUNS = f"""select a.car, '危险驾驶：' || a.car || ' : ' || string_agg(
+                  '危险驾驶车辆：OutOfLimitSpeedInfo(' || c.car || ',' || c.monitor_id
+                  || ',' || c.road_id || ',' || c.real_speed || ',' || c.limit_speed || ','
+                  || c.action_time || ') --', '' order by c.rn) msg,
+                  a.action_time create_time, a.real_speed,
+                  a.limit_speed::double limit_speed, (b.rn - a.rn + 1)::int n_events,
+                  b.action_time last_time
+                from q a join q b on a.car = b.car and b.rn > a.rn
+                    and b.action_time - a.action_time < {DAY}
+                  join q c on c.car = a.car and c.rn between a.rn and b.rn
+                group by a.car, a.rn, b.rn, a.action_time, a.real_speed, a.limit_speed, b.action_time"""
+
+
 def _sql(body: str, *views: str, recursive: bool = False) -> str:
     head = "with recursive " if recursive else "with "
     return head + ",".join((_VIEWS, *views)) + body
@@ -382,6 +455,10 @@ def oracle_sql() -> dict[str, str]:
     def when_closed(name: str) -> str:
         return f"select * from ({batch[name]}) where {closed}"
 
+    def when_settled(sql: str, time: str) -> str:
+        # Rows that are taken in the order of time, once the watermark has passed them.
+        return f"select * from ({sql}) where {time} <= (select max(epoch_us(ts) // 1000) - 5000 from events)"
+
     return {
         **batch,
         "overspeed_stream": batch["overspeed"],
@@ -406,8 +483,13 @@ def oracle_sql() -> dict[str, str]:
                        a.real_speed, a.limit_speed)
                   and b.action_time - a.action_time < {DAY}"""
         ),
-        "repeat_plate_stream": batch["repeat_plate"],
-        "repeat_plate_daily_stream": batch["repeat_plate_daily"],
+        "dangerous_driving_stream": _sql(
+            f"select * exclude (last_time) from ({_RUNS}) where last_time <= (select max(action_time) - 5000 from severe)",
+            _SEVERE_IN_ORDER,
+        ),
+        "area_vehicle_count_passages_stream": when_settled(batch["area_vehicle_count_running"], "action_time"),
+        "repeat_plate_stream": when_settled(batch["repeat_plate"], "create_time"),
+        "repeat_plate_daily_stream": when_settled(batch["repeat_plate_daily"], "create_time"),
         **_llm()[1],
     }
 
@@ -441,6 +523,10 @@ def _batch_sql() -> dict[str, str]:
             "select 'row_' || car || '_' || (9223372036854775807 - action_time) row_key, "
             "car, action_time, monitor_id, road_id, speed from watched"
         ),
+        "follow_log_lines": _sql(
+            "select action_time, monitor_id, camera_id, car, speed, road_id, area_id "
+            "from p where area_id not in ('click', 'error')"
+        ),
         "read_log_lines": _sql(
             "select action_time, monitor_id, camera_id, car, speed, road_id, area_id "
             "from p where area_id not in ('click', 'error')"
@@ -497,20 +583,7 @@ def _batch_sql() -> dict[str, str]:
             "coalesce(pa.car, vi.car) car, police_id, action_status, action_time, msg, "
             f"create_time from pa full join vi on pa.car = vi.car and {close}"
         ),
-        "dangerous_driving": _sql(
-            f"""select a.car, '危险驾驶：' || a.car || ' : ' || string_agg(
-                  '危险驾驶车辆：OutOfLimitSpeedInfo(' || c.car || ',' || c.monitor_id
-                  || ',' || c.road_id || ',' || c.real_speed || ',' || c.limit_speed || ','
-                  || c.action_time || ') --', '' order by c.rn) msg,
-                  a.action_time create_time, a.real_speed,
-                  a.limit_speed::double limit_speed, (b.rn - a.rn + 1)::int n_events
-                from q a join q b on a.car = b.car and b.rn > a.rn
-                    and b.action_time - a.action_time < {DAY}
-                  join q c on c.car = a.car and c.rn between a.rn and b.rn
-                group by a.car, a.rn, b.rn, a.action_time, a.real_speed, a.limit_speed""",
-            """q as (select *, row_number() over (partition by car order by action_time,
-                 monitor_id, road_id, real_speed, limit_speed) rn from severe)""",
-        ),
+        "dangerous_driving": _sql(f"select * exclude (last_time) from ({_RUNS})", _SEVERE_IN_ORDER),
         "repeat_plate": _sql("select * from repeats", _REPEATS, recursive=True),
         "repeat_plate_daily": _sql(
             """select car, day, first_camera_id, second_camera_id, msg, create_time
