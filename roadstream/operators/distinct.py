@@ -85,7 +85,8 @@ def area_vehicle_count_running(
     """Distinct cars so far in the area's window, one row for every passage.
 
     Passages of a window count in the order of time, car and camera. A streaming frame
-    gives the windowed counts instead, to be written in ``update`` output mode.
+    gives the windowed counts instead, to be written in ``update`` output mode;
+    ``running_count_job`` gives a row for every passage of a stream.
 
     The running sum is split into slices of a window: each slice starts from a row that
     carries the number of cars first seen in earlier slices, so a busy area's window is
@@ -99,6 +100,24 @@ def area_vehicle_count_running(
         )
         return _with_bounds(counts, size_ms)
 
+    start = floor_to(F.col("action_time"), size_ms)
+    # A plain minimum, so that the aggregation hashes; without a camera a car's entry
+    # sorts ahead of all its passages of that time.
+    firsts = passages.groupBy("area_id", start.alias("start_time"), "car").agg(
+        F.min("action_time").alias("action_time")
+    )
+    return running_counts(passages, firsts, None, size_ms, slice_ms)
+
+
+def running_counts(
+    passages: DataFrame,
+    firsts: DataFrame,
+    before: DataFrame | None,
+    size_ms: int,
+    slice_ms: int | None = None,
+) -> DataFrame:
+    """The count at every passage, given the first passage of every car that is new in its
+    area's window, and the counts (area_id, start_time, car_count) that windows begin with."""
     slice_ms = slice_ms or max(1, size_ms // _SLICES)
     start = floor_to(F.col("action_time"), size_ms)
     group = ["area_id", "start_time", "_slice"]
@@ -119,13 +138,7 @@ def area_vehicle_count_running(
             "camera_id",
         )
     )
-    # A plain minimum, so that the aggregation hashes; without a camera a car's entry
-    # sorts ahead of all its passages of that time.
-    firsts = placed(
-        passages.groupBy("area_id", start.alias("start_time"), "car").agg(
-            F.min("action_time").alias("action_time")
-        )
-    )
+    firsts = placed(firsts.select("area_id", "car", "action_time"))
     earlier = (
         Window.partitionBy("area_id", "start_time")
         .orderBy("_slice")
@@ -140,6 +153,12 @@ def area_vehicle_count_running(
         .agg(F.sum("_new").alias("_new"))
     )
     carried = added.withColumn("_new", F.sum("_new").over(earlier) - F.col("_new"))
+    if before is not None:
+        same = [F.col(f"c.{c}").eqNullSafe(F.col(f"b.{c}")) for c in group[:2]]
+        begun = F.col("_new") + F.coalesce(F.col("b.car_count"), F.lit(0))
+        carried = carried.alias("c").join(before.alias("b"), same, "left").select(
+            *[f"c.{c}" for c in group], begun.alias("_new")
+        )
 
     def entries(df: DataFrame, kind: int, new) -> DataFrame:
         def column(name: str, kind_: str):

@@ -29,6 +29,8 @@ from roadstream.plans import cut_lineage, fold_copies, in_blocks, unfold_copies
 _GAPS_PER_BLOCK = 64
 #: Neighbouring blocks, or groups of them, whose step functions meet in one row.
 FAN_OUT = 32
+#: More than the number of blocks before 1970, and no boundary of large groups.
+_FAR = 0x0555555555555555
 
 
 def _anchors_in(points: Column, incoming: Column, gap_ms: int) -> Column:
@@ -125,7 +127,8 @@ def _entering(blocks: DataFrame, gap_ms: int, fan_out: int) -> DataFrame:
 
     Open blocks follow their predecessor in number. Step functions are composed upward, level
     by level, until no group depends on the one before it; anchors are then handed down."""
-    levels, level = [], blocks.drop("_points")
+    # Blocks are counted from far before all times: on both sides of zero, groups would never meet.
+    levels, level = [], blocks.drop("_points").withColumn("_block", F.col("_block") + _FAR)
     while True:
         level = cut_lineage(_grouped(level, gap_ms, fan_out))
         levels.append(level)
@@ -137,7 +140,7 @@ def _entering(blocks: DataFrame, gap_ms: int, fan_out: int) -> DataFrame:
         entered = entering_udf(gap_ms)("_incoming", "_members.upto", "_members.last")
         each = groups.select("car", F.explode(F.arrays_zip("_members._block", entered.alias("_incoming"))).alias("_m"))
         incoming = each.select("car", F.col("_m._block").alias("_block"), F.col("_m._incoming").alias("_incoming"))
-    return incoming
+    return incoming.withColumn("_block", F.col("_block") - _FAR)
 
 
 def _anchors(crowded: DataFrame, gap_ms: int, fan_out: int = FAN_OUT) -> DataFrame:

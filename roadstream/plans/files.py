@@ -47,4 +47,9 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r["value"] for r in spark.read.text(path).collect())
+    file, files = _at(spark, path)
+    stream = files.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -1,110 +1,96 @@
-"""Running vehicle counts on a stream, one for every passage."""
+"""Running vehicle counts on a stream, one for every passage.
+
+The state lies in tables between batches: passages that the watermark has not passed yet, the
+cars seen in windows that are open, and these windows' counts. A batch settles what its
+watermark has passed, as a plain batch query: cars that are new in a window are found by an
+anti join, and a busy area's window is ordered in slices.
+"""
 
 from __future__ import annotations
 
-import sys
+import json
 
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from roadstream.constants import AREA_WINDOW_MS, WATERMARK_DELAY
+from roadstream.constants import AREA_WINDOW_MS
 from roadstream.functions.timing import floor_to
-from roadstream.streaming.ordered import in_time_order
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-_SLICES = 100
-_SEEN = T.StructType([T.StructField("seen", T.BooleanType())])
-_KEYS = ["area_id", "start_time", "car"]
-_OUTPUT = T.StructType(
-    [
-        T.StructField("area_id", T.StringType()),
-        T.StructField("start_time", T.LongType()),
-        T.StructField("car", T.StringType()),
-        T.StructField("action_time", T.LongType()),
-        T.StructField("camera_id", T.StringType()),
-        T.StructField("is_new", T.LongType()),
-    ]
-)
-_COUNTS = "area_id string, start_time bigint, car_count bigint"
-
-
-def first_seen(passages: DataFrame, size_ms: int = AREA_WINDOW_MS, delay: str = WATERMARK_DELAY) -> DataFrame:
-    """Every passage of a stream once the watermark has passed it, with ``is_new`` 1 for the
-    first one of its car in the area's window. A car is remembered until its window ends."""
-    start = floor_to(F.col("action_time"), size_ms).alias("start_time")
-    rows = passages.select("area_id", start, "car", "action_time", "camera_id")
-
-    def fold(key: tuple, settled: list[tuple], held: dict | None):
-        out = [(*key, *row, int(held is None and at == 0)) for at, row in enumerate(settled)]
-        return out, {"seen": True}, int(key[1]) + size_ms - 1
-
-    return in_time_order(rows, _KEYS, ["camera_id"], _SEEN, _OUTPUT, fold, delay)
-
-
-def running_counts(passages: DataFrame, before: DataFrame, size_ms: int = AREA_WINDOW_MS) -> DataFrame:
-    """The running count of every passage of a batch of ``first_seen``.
-
-    ``before`` has the counts with which the batch's windows begin. A window is cut into slices
-    of time that start from the sum of the slices before them, so that a busy area is
-    ordered in as many tasks as it has slices; a window has ``_SLICES`` of them."""
-    part = floor_to(F.col("action_time") - F.col("start_time"), max(1, size_ms // _SLICES))
-    rows = passages.withColumn("_slice", part)
-    window = ["area_id", "start_time"]
-    earlier = Window.partitionBy(*window).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = rows.groupBy(*window, "_slice").agg(F.sum("is_new").alias("_new"))
-    slices = slices.withColumn("_before", F.coalesce(F.sum("_new").over(earlier), F.lit(0)))
-    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) for c in window]
-    base = F.col("_before") + F.coalesce(F.col("b.car_count"), F.lit(0))
-    carried = slices.alias("s").join(before.alias("b"), same, "left").select("s.*", base.alias("_base"))
-    running = (
-        Window.partitionBy(*window, "_slice")
-        # A car's entry ahead of copies of the same passage.
-        .orderBy("action_time", "car", "camera_id", F.desc("is_new"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*window, "_slice")]
-    joined = rows.alias("r").join(carried.alias("c"), same).select("r.*", "c._base")
-    return joined.select(
-        *window,
-        (F.col("start_time") + size_ms).alias("end_time"),
-        "action_time",
-        "car",
-        "camera_id",
-        (F.col("_base") + F.sum("is_new").over(running)).alias("car_count"),
-    )
-
-
-def counts_after(passages: DataFrame, before: DataFrame) -> DataFrame:
-    """The counts with which the next batch begins: those of windows that a later passage can
-    still fall into. All passages of a batch lie behind those of the batch before."""
-    added = passages.groupBy("area_id", "start_time").agg(F.sum("is_new").alias("car_count"))
-    both = added.unionByName(before).groupBy("area_id", "start_time").agg(F.sum("car_count").alias("car_count"))
-    newest = both.agg(F.max("start_time")).first()[0]
-    return both.where(F.col("start_time") >= F.lit(newest).cast("bigint"))
-
-
-def counts_sink(path: str, state: str, size_ms: int = AREA_WINDOW_MS):
-    """Append the running counts of every batch to ``path``; the counts between batches are a
-    small table a batch below ``state``. A replayed batch replaces both of its folders."""
+from roadstream.operators.distinct import running_counts
+from roadstream.plans import files
+from roadstream.streaming.sinks import Sink
+from roadstream.streaming.store import merge_by_key, read_merged
+
+DELAY_MS = 5_000
+_PASSAGE = "area_id string, action_time bigint, car string, camera_id string"
+_COUNT = "area_id string, start_time bigint, car_count bigint"
+_WINDOW = ["area_id", "start_time"]
+
+
+def counts_sink(path: str, state: str, size_ms: int = AREA_WINDOW_MS, delay_ms: int = DELAY_MS) -> Sink:
+    """Append to ``path`` the running count of every passage that the watermark has passed.
+
+    The watermark is the latest time so far less ``delay_ms``; a passage that is behind the one
+    of the batch before is late and left out. A replayed batch begins with the state after its
+    predecessor and replaces what it wrote. The state is as large as the open windows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        passages = batch.persist()
+        before = _State(spark, state, batch_id - 1)
+        fresh = batch.select("area_id", "action_time", "car", "camera_id")
+        if before.mark is not None:
+            fresh = fresh.where(F.col("action_time") > before.mark)
+        rows = fresh.unionByName(before.waiting).where("action_time is not null").persist()
         try:
-            before = _before(spark, state, batch_id)
-            counts = running_counts(passages, before, size_ms)
+            newest = rows.agg(F.max("action_time")).first()[0]
+            times = [t for t in (newest, before.newest) if t is not None]
+            mark = max(times) - delay_ms if times else None
+            settled = rows.where(F.col("action_time") <= F.lit(mark).cast("bigint"))
+            start = floor_to(F.col("action_time"), size_ms).alias("start_time")
+            firsts = settled.groupBy("area_id", start, "car").agg(F.min("action_time").alias("action_time"))
+            new = _unseen(firsts, before.seen())
+            counts = running_counts(settled, new, before.counts, size_ms)
             counts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-            counts_after(passages, before).write.mode("overwrite").parquet(f"{state}/after_batch={batch_id}")
+            # What a later passage can still fall into.
+            is_open = F.col("start_time") + size_ms > F.lit(mark).cast("bigint") + 1
+            merge_by_key(f"{state}/seen", *_WINDOW, "car", keep=is_open)(new.select(*_WINDOW, "car"), batch_id)
+            added = new.groupBy(*_WINDOW).agg(F.count(F.lit(1)).alias("car_count"))
+            after = added.unionByName(before.counts).groupBy(*_WINDOW).agg(F.sum("car_count").alias("car_count"))
+            after.where(is_open).write.mode("overwrite").parquet(f"{state}/counts/after_batch={batch_id}")
+            waiting = rows.where(F.col("action_time") > F.lit(mark).cast("bigint"))
+            waiting.write.mode("overwrite").parquet(f"{state}/waiting/after_batch={batch_id}")
+            files.write_text(spark, f"{state}/after/{batch_id}.json", json.dumps({"mark": mark, "newest": max(times, default=None)}))
+            for table in ("counts", "waiting"):
+                # The state before is needed again if this batch is; those before it are not.
+                files.remove(spark, f"{state}/{table}/after_batch={batch_id - 2}")
         finally:
-            passages.unpersist()
+            rows.unpersist()
 
     return write
 
 
-def _before(spark: SparkSession, state: str, batch_id: int) -> DataFrame:
-    if batch_id == 0:
-        return spark.createDataFrame([], _COUNTS)
-    return spark.read.schema(_COUNTS).parquet(f"{state}/after_batch={batch_id - 1}")
+class _State:
+    """The tables after a batch; empty ones before the first."""
+
+    def __init__(self, spark: SparkSession, state: str, batch_id: int) -> None:
+        self.spark, self.path, self.batch_id = spark, state, batch_id
+        known = {"mark": None, "newest": None}
+        if batch_id >= 0:
+            known = json.loads(files.read_text(spark, f"{state}/after/{batch_id}.json"))
+        self.mark, self.newest = known["mark"], known["newest"]
+        self.waiting = self._table("waiting", _PASSAGE)
+        self.counts = self._table("counts", _COUNT)
+
+    def _table(self, name: str, schema: str) -> DataFrame:
+        if self.batch_id < 0:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}/after_batch={self.batch_id}")
+
+    def seen(self) -> DataFrame | None:
+        return read_merged(self.spark, f"{self.path}/seen", self.batch_id) if self.batch_id >= 0 else None
+
+
+def _unseen(firsts: DataFrame, seen: DataFrame | None) -> DataFrame:
+    if seen is None:
+        return firsts
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*_WINDOW, "car")]
+    return firsts.alias("f").join(seen.alias("s"), same, "left_anti")

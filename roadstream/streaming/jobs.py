@@ -24,7 +24,7 @@ from roadstream.operators import (
     watchlist_passages,
 )
 from roadstream.operators.parse import KINDS
-from roadstream.streaming.counts import counts_sink, first_seen
+from roadstream.streaming.counts import counts_sink
 from roadstream.streaming.repeats import repeat_plate_stream
 from roadstream.streaming.sinks import Sink, insert_if_absent, split_by_kind, start
 
@@ -120,8 +120,8 @@ def running_count_job(
     **trigger,
 ) -> StreamingQuery:
     """A running vehicle count for every passage, stored at ``path`` once the watermark has
-    passed it; ``state`` holds the counts between batches."""
-    return start(first_seen(passages, size_ms), counts_sink(path, state, size_ms), checkpoint, **trigger)
+    passed it; ``state`` is the folder of what is kept between batches."""
+    return start(passages, counts_sink(path, state, size_ms), checkpoint, **trigger)
 
 
 def repeat_plate_job(

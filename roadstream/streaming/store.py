@@ -75,10 +75,12 @@ def to_merge(sizes: list[int], runs: int) -> int:
     return count
 
 
-def merge_by_key(path: str, *keys: str, buckets: int = BUCKETS, runs: int = RUNS) -> Sink:
+def merge_by_key(
+    path: str, *keys: str, buckets: int = BUCKETS, runs: int = RUNS, keep: Column | None = None
+) -> Sink:
     """Store rows of which a later batch replaces those with the same key.
 
-    Only buckets that a batch touches are written or merged. ``buckets`` belongs to the table;
+    Rows for which ``keep`` is not true may go when runs are merged. Only buckets that a batch touches are written or merged. ``buckets`` belongs to the table;
     take so many that a bucket is some hundred megabytes. Null keys are keys."""
     by = list(keys)
 
@@ -99,24 +101,28 @@ def merge_by_key(path: str, *keys: str, buckets: int = BUCKETS, runs: int = RUNS
                 live.setdefault(bucket, []).append([run, size])
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema if f.name != _BUCKET)
         manifest = {"count": buckets, "keys": by, "schema": f"{schema}, {_BUCKET} int", "buckets": live}
-        _merge(spark, path, manifest, f"{batch_id}m", runs)
+        _merge(spark, path, manifest, f"{batch_id}m", runs, keep)
         files.write_text(spark, f"{path}/manifests/{batch_id}.json", json.dumps(manifest))
         _clean(spark, path, batch_id)
 
     return write
 
 
-def _merge(spark: SparkSession, path: str, manifest: dict, run: str, runs: int) -> None:
+def _merge(
+    spark: SparkSession, path: str, manifest: dict, run: str, runs: int, keep: Column | None
+) -> None:
     """Merge the newest runs of buckets that have many, in one job; older runs stay."""
     chosen = {b: n for b, r in manifest["buckets"].items() if (n := to_merge([s for _, s in r], runs))}
     if not chosen:
         return
     parts = [p for b, n in chosen.items() for p in _paths(path, [r for r, _ in manifest["buckets"][b][-n:]], b)]
     merged = _newest(_read(spark, path, manifest, parts), manifest["keys"])
+    merged = merged if keep is None else merged.where(keep)
     _write_run(merged, manifest["keys"], f"{path}/runs/run={run}")
     for bucket, n in chosen.items():
         size = files.size(spark, f"{path}/runs/run={run}/{_BUCKET}={bucket}")
-        manifest["buckets"][bucket][-n:] = [[run, size]]
+        # Without a row left there is no file.
+        manifest["buckets"][bucket][-n:] = [[run, size]] if size else []
 
 
 def _clean(spark: SparkSession, path: str, newest: int) -> None:
@@ -138,9 +144,10 @@ def _clean(spark: SparkSession, path: str, newest: int) -> None:
             files.remove(spark, f"{path}/runs/{folder}")
 
 
-def read_merged(spark: SparkSession, path: str) -> DataFrame:
-    """The newest row of every key. Buckets with a single run are read as they are."""
-    manifest = _manifest(spark, path)
+def read_merged(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame:
+    """The newest row of every key, also as it was after one of the last two batches. Buckets
+    with a single run are read as they are."""
+    manifest = _manifest(spark, path, None if batch_id is None else batch_id + 1)
     if manifest is None:
         raise ValueError(f"{path}: no batch has been stored")
     single, several = [], []
