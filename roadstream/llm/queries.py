@@ -149,6 +149,75 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def _repair_sql() -> str:
+    """The contract of the conversation repair: damage, faults, and the cheapest edits row by
+    row, keeping for each state after a row (nothing, system, user, assistant) its least
+    cost, letters and lines."""
+
+    def edit(state: str, cost: str, letter: str, line: str | None = None) -> str:
+        lines = f"list_append({state}.t, {line})" if line else f"{state}.t"
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {lines}}}"
+
+    def insert(states: str) -> str:
+        user = ", ".join(edit(x, "3", "I", "'user:'") for x in ("s0", "s1", "s3"))
+        closed = f"least(s2, {user}) as s2, least(s3, {edit('s2', '3', 'I', chr(39) + 'assistant:' + chr(39))}) as s3"
+        for _ in range(3):
+            states = f"(select * replace ({closed}) from {states})"
+        return states
+
+    def kept(state: str, initial: str) -> str:
+        return f"case when live and left(role, 1) = '{initial}' then {edit(state, 'extra', 'K', 'role || chr(58) || text')} else no end"
+
+    def relabelled(state: str, role: str) -> str:
+        line = f"'{role}:' || text"
+        return f"case when live then {edit(state, '3 + extra', 'R', line)} else no end"
+
+    gone = {x: edit(x, "4", "D") for x in ("s0", "s1", "s2", "s3")}
+    before = ("s0", "s1", "s3")
+    users = [f(x, y) for x in before for f, y in ((kept, "u"), (relabelled, "user"))]
+    step = (
+        f"{gone['s0']} s0, least({gone['s1']}, {kept('s0', 's')}) s1, "
+        f"least({gone['s2']}, {', '.join(users)}) s2, "
+        f"least({gone['s3']}, {kept('s2', 'a')}, {relabelled('s2', 'assistant')}) s3"
+    )
+    none = "{'c': 1000000000, 'a': '', 't': []::varchar[]}"
+    white = r"[\x20\x09-\x0D]"
+    stepped = "list_reduce(list_prepend(i::ubigint, range(8)::ubigint[]), lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end)"
+    crc = "list_reduce(list_prepend(4294967295::ubigint, list_transform(str_split(k, ''), lambda x: ascii(x)::ubigint)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::bigint + 1]))"
+    return f"""
+        with recursive tab as (select list({stepped} order by i) t from range(256) r(i)),
+        base as (select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+            coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') k from conversations),
+        hit as (select base.*, xor({crc}, 4294967295::ubigint) % 20 h from base, tab),
+        damaged as (select conv_id, turn, case h when 4 then 'user' else role end role,
+            case h when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end text
+          from (select *, unnest(case h when 3 then [0, 1] else [0] end) from hit where h <> 0)),
+        o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) n from damaged),
+        f as (select *, row_number() over (partition by conv_id, role, text order by n) nth,
+            lag(role) over (partition by conv_id order by n) last_role from o),
+        m as (select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank' when nth > 1 then 'duplicate'
+            when not regexp_matches(text, '[.!?]{white}*$') then 'truncated' end fault from f),
+        path as (
+          select conv_id, 0 n, {none.replace('1000000000', '0')} s0, {none} s1, {none} s2, {none} s3 from (select distinct conv_id from m)
+          union all
+          select conv_id, n, s0, s1, s2, s3 from (select conv_id, n, {step} from {insert(f"""(
+              select path.conv_id, m.n, s0, s1, s2, s3, m.role, m.text, {none} no, coalesce(m.fault, '') not in ('blank', 'duplicate') live,
+                case m.fault when 'truncated' then 3 else 0 end extra
+              from path join m on m.conv_id is not distinct from path.conv_id and m.n = path.n + 1)""")})),
+        ends as (select conv_id, least(s0, s3) e from {insert("""(select path.* from path join (select conv_id, max(n) n from m group by conv_id) z
+            on z.conv_id is not distinct from path.conv_id and z.n = path.n)""")}),
+        counts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps,
+            count(*) filter (fault = 'blank') blank, count(*) filter (fault = 'duplicate') duplicate,
+            count(*) filter (fault = 'truncated') truncated,
+            count(*) filter (n > 1 and left(last_role, 1) || left(role, 1) not in ('su', 'ua', 'au')) illegal from m group by conv_id)
+        select d.conv_id, coalesce(gaps, 0)::bigint gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate,
+          coalesce(truncated, 0) truncated, coalesce(illegal, 0) illegal, coalesce(e.c, 0)::bigint as cost,
+          coalesce(e.a, '') audit, sha256(coalesce(array_to_string(e.t, chr(10)), '')) repaired_sha256
+        from (select distinct conv_id from conversations) d
+        left join counts on counts.conv_id is not distinct from d.conv_id
+        left join ends on ends.conv_id is not distinct from d.conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_warc": """
@@ -158,4 +227,5 @@ def oracle_sql() -> dict[str, str]:
               case when page_id > m then 'revisit' else 'response' end record_type,
               case when page_id > m then m end refers_to
             from f""",
+        "op12_conversation_repair": _repair_sql(),
     }
