@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,13 @@ from pyspark.sql import functions as F
 
 from roadstream import operators as ops
 from roadstream import testmap
+from roadstream.functions.timing import floor_to
+from roadstream.operators.distinct import SKETCH_RSD
+from roadstream.operators.parse import KINDS
 from roadstream.plans import working_folder
 from roadstream.sources import follow_log_lines, read_log_lines, tables
-from roadstream.streaming import jobs, sinks
+from roadstream.sources.tracks import store_tracks, stored_row, stored_track
+from roadstream.streaming import jobs, sinks, store
 from roadstream.streaming.patterns import dangerous_driving_stream
 from roadstream.streaming.repeats import repeat_plate_stream
 
@@ -42,9 +47,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    return _as_lines(testmap.passages(spark, sf))
+
+
+def _as_lines(p: DataFrame) -> DataFrame:
     """Passages as text lines: clicks lose their last two fields, errors their speed,
     sign-ups carry a field more."""
-    p = testmap.passages(spark, sf)
     kind = F.col("area_id")
     head = F.concat_ws(",", "action_time", "monitor_id", "camera_id", "car")
     speed = F.when(kind == "error", F.lit("n/a")).otherwise(F.col("speed").cast("string"))
@@ -92,8 +100,52 @@ def _tracks(spark: SparkSession, sf: str) -> DataFrame:
 
 def _newest_row(spark: SparkSession, sf: str) -> DataFrame:
     """The row under the first key of a car's trajectory."""
-    newest = ops.car_track(_tracks(spark, sf), CAR).first()
-    return ops.lookup_track(_tracks(spark, sf), newest["row_key"])
+    return ops.lookup_track(_tracks(spark, sf), _newest_key(_tracks(spark, sf)))
+
+
+def _newest_key(tracks: DataFrame) -> str:
+    """A car's first key, or one that no row has if the car has no track."""
+    newest = ops.car_track(tracks, CAR).first()
+    return newest["row_key"] if newest else f"row_{CAR}_"
+
+
+def _stored_tracks(spark: SparkSession, sf: str) -> str:
+    """The path of the trajectories in a table ordered by key."""
+    folder = f"{_own_folder(spark)}/tracks"
+    store_tracks(_tracks(spark, sf), folder)
+    return folder
+
+
+def _stored_newest_row(spark: SparkSession, sf: str) -> DataFrame:
+    path = _stored_tracks(spark, sf)
+    return stored_row(spark, path, _newest_key(stored_track(spark, path, CAR)))
+
+
+def _united_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact counts of sliding days, and whether those of united sketches, which were stored for
+    each quarter of a day, lie within five standard errors."""
+    passages, quarter = testmap.passages(spark, sf), DAY // 4
+    folder = f"{_own_folder(spark)}/sketches"
+    ops.area_vehicle_sketches(passages, quarter).write.parquet(folder)
+    about = ops.vehicle_count_of_sketches(spark.read.parquet(folder), DAY, quarter)
+    starts = F.sequence(*[floor_to(F.col("action_time") - back, quarter) + ahead for back, ahead in ((DAY, quarter), (0, 0))], F.lit(quarter).cast("bigint"))
+    windows = passages.withColumn("start_time", F.explode(starts))
+    exact = windows.groupBy("area_id", "start_time").agg(F.count_distinct("car").alias("car_count"))
+    both = exact.join(about.withColumnRenamed("car_count", "estimate"), ["area_id", "start_time"])
+    near = F.abs(F.col("estimate") - F.col("car_count")) <= 5 * SKETCH_RSD * F.col("car_count")
+    return both.select("area_id", "start_time", "end_time", "car_count", near.alias("within_bound"))
+
+
+def _kinds_of_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Good and rejected lines, which one pass of a stream wrote to tables by kind."""
+    folder = _own_folder(spark)
+    run = {"checkpoint": f"{folder}/checkpoint", "available_now": True}
+    _finished(jobs.quality_job(_as_lines(testmap.passages_stream(spark, sf)), f"{folder}/table", **run))
+    tables = [
+        sinks.read_kind(spark, f"{folder}/table", k).select(F.lit(k).alias("kind"), "value", "action_time", "car", "speed")
+        for k in KINDS
+    ]
+    return reduce(DataFrame.unionByName, tables)
 
 
 def _from_logs(spark: SparkSession, sf: str) -> DataFrame:
@@ -214,6 +266,16 @@ def _stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             ),
             lambda s, table: sinks.read_latest(s, table, "row_key"),
         ),
+        "track_rows_merged_stream": _job_into_table(
+            lambda s, d, table, run: jobs.track_job(
+                testmap.passages_stream(s, d),
+                lambda: testmap.violation_list(s, d),
+                store.merge_by_key(table, "row_key"),
+                **run,
+            ),
+            store.read_merged,
+        ),
+        "quality_split_stream": _kinds_of_lines,
         "average_speed_stream": _job_into_table(
             lambda s, d, table, run: jobs.average_speed_job(
                 testmap.passages_stream(s, d),
@@ -325,6 +387,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "track_rows": _tracks,
         "car_track": lambda s, d: ops.car_track(_tracks(s, d), CAR),
         "lookup_track": _newest_row,
+        "stored_car_track": lambda s, d: stored_track(s, _stored_tracks(s, d), CAR),
+        "stored_lookup_track": _stored_newest_row,
         # windows
         "average_speed": _on_passages(ops.average_speed, AVG_SIZE, AVG_SLIDE),
         "average_speed_2dp": _on_passages(ops.average_speed_2dp, AVG_SIZE, TOP_SLIDE),
@@ -333,6 +397,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "area_vehicle_count": _on_passages(ops.area_vehicle_count, DAY),
         "area_vehicle_count_running": _on_passages(ops.area_vehicle_count_running, DAY),
         "area_vehicle_count_bloom": _estimates,
+        "area_vehicle_count_sketches": _united_sketches,
         # matching, patterns, state
         "police_interval_join": _on_police(
             ops.police_interval_join, tolerance_ms=TOLERANCE
@@ -463,6 +528,20 @@ def oracle_sql() -> dict[str, str]:
         **batch,
         "overspeed_stream": batch["overspeed"],
         "track_rows_stream": batch["track_rows"],
+        "track_rows_merged_stream": batch["track_rows"],
+        "stored_car_track": batch["car_track"],
+        "stored_lookup_track": batch["lookup_track"],
+        "area_vehicle_count_sketches": _sql(
+            f"""select area_id, w start_time, w + {DAY} end_time, count(distinct car)::bigint car_count, true within_bound
+                from (select area_id, car, unnest(range(action_time // {DAY // 4} * {DAY // 4} - {3 * (DAY // 4)},
+                        action_time // {DAY // 4} * {DAY // 4} + 1, {DAY // 4})) w from p)
+                group by all"""
+        ),
+        "quality_split_stream": _sql(
+            """select kind, value, case kind when 'ok' then action_time end action_time, case kind when 'ok' then car end car,
+                 case kind when 'ok' then speed end speed
+               from (select *, case area_id when 'click' then 'short' when 'error' then 'bad_number' else 'ok' end kind from lines)"""
+        ),
         "average_speed_stream": when_closed("average_speed"),
         "top_congested_stream": when_closed("top_congested"),
         "area_vehicle_count_stream": when_closed("area_vehicle_count"),

@@ -4,6 +4,8 @@ from roadstream.operators.distinct import (
     area_vehicle_count,
     area_vehicle_count_bloom,
     area_vehicle_count_running,
+    area_vehicle_sketches,
+    vehicle_count_of_sketches,
 )
 from roadstream.operators.enrich import (
     overspeed,

@@ -58,3 +58,35 @@ def test_approximate_count_is_close(spark):
     )
     (count,) = area_vehicle_count_bloom(frame).collect()
     assert abs(count.car_count - 20_000) < 1_000
+
+
+def test_sketches_are_united_into_any_window(spark, passages):
+    """Sketches of few cars are exact; windows slide over panes, areas are put together."""
+    from roadstream.operators import area_vehicle_sketches, vehicle_count_of_sketches
+
+    seen = [(t, f"car{t // 7 % 9}", f"a{t % 3}") for t in range(0, 400, 3)]
+    frame = passages(*[(t, "m", "c", car, 1.0, "r", area) for t, car, area in seen])
+    sketches = area_vehicle_sketches(frame, 10)
+    for size, slide, by in ((40, 20, ("area_id",)), (30, 30, ()), (10, 10, ("area_id",))):
+        got = {tuple(r) for r in vehicle_count_of_sketches(sketches, size, slide, by).collect()}
+        want = {}
+        for t, car, area in seen:
+            for start in range((t - size) // slide * slide + slide, t + 1, slide):
+                if start <= t < start + size:
+                    key = (area, start, start + size) if by else (start, start + size)
+                    want.setdefault(key, set()).add(car)
+        assert got == {(*k, len(cars)) for k, cars in want.items()}
+
+
+def test_large_sketches_are_near(spark):
+    from pyspark.sql import functions as F
+    from roadstream.operators import area_vehicle_sketches, vehicle_count_of_sketches
+    from roadstream.operators.distinct import SKETCH_RSD
+
+    frame = spark.range(60_000).select(
+        (F.col("id") % 100).alias("action_time"), (F.col("id") % 20_000).cast("string").alias("car"), F.lit("a").alias("area_id")
+    )
+    sketches = area_vehicle_sketches(frame, 10)
+    assert sketches.agg(F.max(F.length("sketch"))).first()[0] < 6000
+    (row,) = vehicle_count_of_sketches(sketches, 100).collect()
+    assert abs(row["car_count"] - 20_000) < 4 * SKETCH_RSD * 20_000
