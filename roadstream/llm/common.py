@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from roadstream.plans import working_folder
+from roadstream.plans import files, working_folder
 
 #: Rows that one salt of ``numbered`` holds on average.
 ROWS_PER_SALT = 200_000
@@ -23,15 +25,49 @@ def own_folder(spark: SparkSession) -> str:
     return f"{working_folder(spark)}/roadstream-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
+#: Folders of the tables that each open ``scratch`` has seen written.
+_SCRATCH: list[list[str]] = []
+
+
+def written(df: DataFrame, keep: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends there, and later steps
-    read the columns they need."""
+    read the columns they need. With ``keep`` it outlives the innermost ``scratch``."""
     spark = df.sparkSession
     path = own_folder(spark)
+    scopes = _SCRATCH[:-1] if keep else _SCRATCH
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are ``written`` inside are removed at its end, also after an error. What is
+    needed beyond must have been written with ``keep`` by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            files.remove(spark, path)
+
+
+def row_names(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns that name a row whatever way its files are split, and their names:
+    the file and the row's place in it. Rows that do not come straight from files are written
+    with a number first."""
+    under = "_" * (1 + max((len(c) - len(c.lstrip("_")) for c in docs.columns), default=0))
+    file, place = under + "file", under + "place"
+    try:
+        return docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place)), [file, place]
+    except AnalysisException as missing:
+        if not (missing.getCondition() or "").startswith(("UNRESOLVED_COLUMN", "FIELD_NOT_FOUND")):
+            raise
+    numbered = docs.select("*", F.lit("").alias(file), F.monotonically_increasing_id().alias(place))
+    return written(numbered), [file, place]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -11,14 +11,16 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from roadstream.llm.common import in_arrow, written
+from roadstream.plans.dimensions import BROADCAST_BYTES
 
 #: In the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "opaque")
@@ -69,14 +71,28 @@ def spans(text: str | None) -> list[tuple[int, int, str, str]]:
         end = HEX.match(text, m.start()).end()
         out.append((m.start(), end, "hex", text[m.start() : end]))
         at = end
-    taken = sorted((s, e) for s, e, _, _ in out)
+    taken, at = _disjoint((s, e) for s, e, _, _ in out), 0
     for m in OPAQUE.finditer(text):
         value = m[0]
-        if _looks_opaque(value) and not any(s < m.end() and m.start() < e for s, e in taken):
+        # Both go from left to right, so that each span is passed once.
+        while at < len(taken) and taken[at][1] <= m.start():
+            at += 1
+        if (at == len(taken) or taken[at][0] >= m.end()) and _looks_opaque(value):
             out.append((m.start(), m.end(), "opaque", value))
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def _disjoint(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same positions as spans that do not meet, by start."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((start, end))
+    return out
+
+
 def _looks_opaque(value: str) -> bool:
     digits = sum(c.isdigit() for c in value)
     return (
@@ -234,18 +250,39 @@ def redacted(text: str, at: list[tuple[int, int]], mark: str = "[SECRET]") -> st
     return "".join([*out, text[last:]])
 
 
+def hidden() -> Column:
+    """(start, end) of the ``spans`` of a scan that are not examples."""
+    return F.transform(F.filter("spans", lambda s: s["verdict"] != "example"), lambda s: F.struct(s["start"], s["end"]))
+
+
+def _replaced(text: str, at: str) -> Column:
+    @F.pandas_udf("string")
+    def replaced(texts: pd.Series, at: pd.Series) -> pd.Series:
+        found = [redacted(t, [tuple(s.values()) for s in spans]) for t, spans in zip(texts, at, strict=True)]
+        return pd.Series(found, dtype=object)
+
+    return replaced(text, at)
+
+
+def redact_rows(docs: DataFrame, at: DataFrame, names: list[str], text_col: str = "text") -> DataFrame:
+    """``docs`` without its columns ``names``, with the spans ``_at`` of the written table
+    ``at`` replaced in the texts of the rows that these columns name. Only such rows go through
+    Python, and texts are shuffled only if the table is too large for every task."""
+    size = F.sum(F.length(names[0]) + F.size("_at") * 16 + 64).alias("n")
+    if (at.agg(size).first()["n"] or 0) <= BROADCAST_BYTES:
+        at = F.broadcast(at)
+    columns = [c for c in docs.columns if c not in names]
+    marked = docs.join(at, names).withColumn("_text", _replaced(f"`{text_col}`", "_at"))
+    marked = marked.select(*[F.col("_text" if c == text_col else f"`{c}`").alias(c) for c in columns])
+    return marked.unionByName(docs.join(at, names, "left_anti").select(*[f"`{c}`" for c in columns]))
+
+
 def redact(scanned: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of a ``scan`` with ``keep_rows``; what is not an example is replaced in
     their texts: a key that two owners show is no less a key."""
-    hidden = F.filter("spans", lambda s: s["verdict"] != "example")
-    rows = scanned.select("row", F.transform(hidden, lambda s: F.struct(s["start"], s["end"])).alias("_at"))
-
-    @F.udf("string", useArrow=True)
-    def replaced(text, at):
-        return redacted(text, [tuple(x.values()) if isinstance(x, dict) else tuple(x) for x in at])
-
+    rows = scanned.select("row", hidden().alias("_at"))
     names = scanned.schema["row"].dataType.names
-    marked = rows.where(F.size("_at") > 0).withColumn("_text", replaced(f"row.`{text_col}`", "_at"))
+    marked = rows.where(F.size("_at") > 0).withColumn("_text", _replaced(f"row.`{text_col}`", "_at"))
     marked = marked.select(*[F.col("_text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in names])
     return marked.unionByName(rows.where(F.size("_at") == 0).select("row.*"))
 

@@ -87,3 +87,38 @@ def test_empty_table(spark, corpus, tmp_path):
     for _, stage in C.STAGES:
         none.write.mode("overwrite").parquet(str(tmp_path / "none"))
         assert stage(spark, spark.read.parquet(str(tmp_path / "none")), folder).count() == 0
+
+
+def _folders(spark):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(C.own_folder(spark)).getParent()
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in files.listStatus(at) if f.getPath().getName().startswith("roadstream-")}
+
+
+def test_only_the_result_is_left(spark, corpus):
+    _, folder = corpus
+    before = _folders(spark)
+    result = C.run(spark, folder)
+    left = _folders(spark) - before
+    assert len(left) == 1 and result.count() > 0 and left.pop() in result.inputFiles()[0]
+
+
+def test_a_stage_leaves_the_rows_it_decided_on(spark, corpus):
+    """No texts: a small table of file names and places, which the lazy result still needs."""
+    _, folder = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in C.STAGES[:-1]:
+        before = _folders(spark)
+        stage(spark, docs, folder)
+        assert len(_folders(spark) - before) == 1
+
+
+def test_rows_that_come_from_no_file(spark, corpus):
+    """They are written with a number first."""
+    _, folder = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    made = docs.distinct().withColumn("_file", C.F.lit(1)).withColumn("__place", C.F.lit(2))
+    kept = C.near_dedup_stage(spark, made, folder)
+    assert kept.columns == made.columns
+    assert {300, 301}.isdisjoint(r[0] for r in kept.select("doc_id").collect())
+    assert {r[0] for r in C.decontamination_stage(spark, made, folder).select("doc_id").collect()}.isdisjoint({400})
