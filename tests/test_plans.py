@@ -42,6 +42,24 @@ def test_large_dimension_gives_the_same_rows(spark, rows, how):
     assert rows(small) == rows(large)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_copies_of_a_large_dimension_are_not_broadcast(spark, how):
+    facts = spark.range(400).selectExpr("id % 7 k", "id v")
+    dim = spark.range(0, 300, 3).selectExpr("id k", "id * 2 w")
+    # Spark's own estimate of the copies is far below its threshold.
+    assert "Broadcast" not in plan(join_dimension(facts, dim, "k", how, max_bytes=0))
+
+
+LARGE = ["dangerous_driving"]
+
+
+@pytest.mark.parametrize("name", LARGE)
+def test_large_dimensions_are_never_broadcast(spark, monkeypatch, name):
+    monkeypatch.setattr(dimensions, "fits_broadcast", lambda *a, **k: False)
+    text = plan(contract.queries()[name](spark, SMALL))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_operators_beyond_the_broadcast_limit(spark, rows, monkeypatch):
     p = testmap.passages(spark, SMALL)
     m = testmap.monitors(spark, SMALL)
