@@ -50,7 +50,7 @@ def test_copies_of_a_large_dimension_are_not_broadcast(spark, how):
     assert "Broadcast" not in plan(join_dimension(facts, dim, "k", how, max_bytes=0))
 
 
-LARGE = ["dangerous_driving", "severe_overspeed", "with_speed_limits"]
+LARGE = ["dangerous_driving", "severe_overspeed", "with_speed_limits", "overspeed"]
 
 
 @pytest.mark.parametrize("name", LARGE)
