@@ -15,6 +15,7 @@ from roadstream.plans import (
     one_per_key,
     unfold_copies,
 )
+from roadstream.streaming import jobs
 
 
 def plan(frame):
@@ -60,6 +61,29 @@ def test_large_dimensions_are_never_broadcast(spark, monkeypatch, name):
     assert "SortMergeJoin" in text and "Broadcast" not in text
 
 
+def overspeed_batch(spark, folder):
+    """The plan of the batch that the job writes."""
+    seen = []
+    jobs.overspeed_job(
+        testmap.passages_stream(spark, SMALL),
+        lambda: testmap.monitors(spark, SMALL),
+        lambda batch, _: seen.append(plan(batch)),
+        folder,
+        available_now=True,
+    ).awaitTermination()
+    return "\n".join(seen)
+
+
+LARGE_ON_STREAMS = {"overspeed_stream": overspeed_batch}
+
+
+@pytest.mark.parametrize("name", sorted(LARGE_ON_STREAMS))
+def test_large_dimensions_are_never_broadcast_on_streams(spark, monkeypatch, tmp_path, name):
+    monkeypatch.setattr(dimensions, "fits_broadcast", lambda *a, **k: False)
+    text = LARGE_ON_STREAMS[name](spark, str(tmp_path))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_operators_beyond_the_broadcast_limit(spark, rows, monkeypatch):
     p = testmap.passages(spark, SMALL)
     m = testmap.monitors(spark, SMALL)
