@@ -16,6 +16,7 @@ from roadstream.plans import (
     unfold_copies,
 )
 from roadstream.streaming import jobs
+from roadstream.streaming.patterns import dangerous_driving_stream
 
 
 def plan(frame):
@@ -74,7 +75,17 @@ def overspeed_batch(spark, folder):
     return "\n".join(seen)
 
 
-LARGE_ON_STREAMS = {"overspeed_stream": overspeed_batch}
+def explained(frame):
+    utils = frame.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils
+    return utils.explainString(frame._jdf.queryExecution(), "simple")
+
+
+def severe_runs(spark, folder):
+    passages, monitors = testmap.passages_stream(spark, SMALL), testmap.monitors(spark, SMALL)
+    return explained(dangerous_driving_stream(passages, monitors))
+
+
+LARGE_ON_STREAMS = {"overspeed_stream": overspeed_batch, "dangerous_driving_stream": severe_runs}
 
 
 @pytest.mark.parametrize("name", sorted(LARGE_ON_STREAMS))
