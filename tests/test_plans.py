@@ -4,7 +4,13 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from conftest import SMALL
 from roadstream import testmap
-from roadstream.operators import overspeed, watchlist_passages, with_speed_limits
+from roadstream.operators import (
+    dangerous_pairs,
+    overspeed,
+    severe_overspeed,
+    watchlist_passages,
+    with_speed_limits,
+)
 from roadstream.plans import (
     cut_lineage,
     dimensions,
@@ -85,7 +91,16 @@ def severe_runs(spark, folder):
     return explained(dangerous_driving_stream(passages, monitors))
 
 
-LARGE_ON_STREAMS = {"overspeed_stream": overspeed_batch, "dangerous_driving_stream": severe_runs}
+def severe_pairs(spark, folder):
+    passages, monitors = testmap.passages_stream(spark, SMALL), testmap.monitors(spark, SMALL)
+    return explained(dangerous_pairs(severe_overspeed(passages, monitors)))
+
+
+LARGE_ON_STREAMS = {
+    "overspeed_stream": overspeed_batch,
+    "dangerous_driving_stream": severe_runs,
+    "dangerous_pairs_stream": severe_pairs,
+}
 
 
 @pytest.mark.parametrize("name", sorted(LARGE_ON_STREAMS))
