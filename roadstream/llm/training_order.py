@@ -229,4 +229,6 @@ def training_order(docs: DataFrame, tokenizer: str, folder: str | None = None, *
     rows = materialise(docs, tokenizer, folder=folder, **settings)
     of_shards = {k: v for k, v in settings.items() if k in ("length", "shard_rows")}
     held = read_back(rows, folder, wide=_vocabulary(tokenizer) > 1 << 16, **of_shards)
-    return rows.drop("path").join(held.drop("length"), "slot")
+    # Spark estimates what is read back by the list of files: without the hint it would broadcast
+    # a row for every sequence.
+    return rows.drop("path").join(held.drop("length").hint("merge"), "slot")

@@ -66,3 +66,12 @@ def test_order_depends_on_the_key_alone(made):
 def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert T.training_order(docs, PATH, folder=f"file://{tmp_path}").count() == 0
+
+
+def test_what_is_read_back_is_never_broadcast(made):
+    _, run, _ = made
+    joined = run()
+    n = joined.count()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert joined.select("slot").distinct().count() == n > 0
