@@ -187,3 +187,34 @@ def test_text_with_nul_characters_is_no_edge():
     assert lengths.tolist() == [5, 0, 0, 1] and len(code) == 6
     assert code[-1] == Q._grams(["c"], symbol)[0][0]
     assert np.all(code[1:5] & 63 != 0)
+
+
+def in_order(rng, letters, order, n):
+    text = [rng.choice(letters)]
+    while len(text) < n:
+        text.append(rng.choice(order[text[-1]]))
+    return "".join(text)
+
+
+@pytest.mark.parametrize("most", [10**9, 0])
+@pytest.mark.parametrize("letters", ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\n\u00a0\u2003\u3000"])
+def test_capitals_digits_and_white_space_are_told_apart(spark, letters, most):
+    rng = random.Random(9)
+    order = {x: [letters[(i + 1) % len(letters)], letters[(i + 2) % len(letters)]] for i, x in enumerate(letters)}
+    good = [(i, in_order(rng, letters, order, 120), "en") for i in range(60)]
+    mixed = [(100 + i, "".join(rng.choice(letters) for _ in range(120)), "en") for i in range(5)]
+    docs = spark.createDataFrame(good + mixed, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(60)], "doc_id long")
+    got = {r["id"]: r for r in Q.quality(docs, trusted, broadcast_rows=most).collect()}
+    assert sum(got[i]["kept"] for i in range(60)) >= 59
+    assert not any(got[100 + i]["kept"] for i in range(5))
+
+
+def test_every_character_of_the_trusted_texts_has_its_own_symbol(spark):
+    text = "Äq7\t\u0663Z A0 \n" + "".join(chr(c) for c in range(0x391, 0x3CA) if c != 0x3A2)
+    alphabet = Q._alphabet(spark.createDataFrame([(text,)], "text string"))
+    symbol = Q._symbols(alphabet)
+    assert sorted(alphabet) == sorted({ord(c) for c in text}) and len(alphabet) > Q.LETTERS
+    assert len({int(symbol[c]) for c in alphabet}) == len(alphabet)
+    unseen = {int(symbol[ord(c)]) for c in "Bq1\u2003\u4e00"} - {int(symbol[ord("q")])}
+    assert unseen == {Q.UPPER, Q.DIGIT, Q.SPACE, Q.RARE} and not unseen & {int(symbol[c]) for c in alphabet}
